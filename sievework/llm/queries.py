@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
-from .common import documents
+from . import mixing, quality_rules, simhash
+from .common import documents, labels
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.query(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(documents(spark, sf_dir))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +24,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_quality_rules": op6_quality_rules,
+        "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
     }
 
