@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, simhash
+from . import langid, mixing, quality_fm, quality_rules, simhash
 from .common import documents, labels
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.query(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op7_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.query(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(documents(spark, sf_dir))
 
@@ -24,7 +32,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_langid": op1_langid,
         "op6_quality_rules": op6_quality_rules,
+        "op7_quality_fm": op7_quality_fm,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
     }
