@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, packing, quality_fm, quality_rules, simhash
+from . import langid, lm, mixing, packing, quality_fm, quality_rules, simhash
 from .common import documents, labels
 
 
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(documents(spark, sf_dir))
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.query(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -38,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
         "op3_packing": op3_packing,
+        "op4_suffix_tree": op4_suffix_tree,
         "op6_quality_rules": op6_quality_rules,
         "op7_quality_fm": op7_quality_fm,
         "op8_mixing": op8_mixing,
