@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lm, mixing, packing, quality_fm, quality_rules, simhash
+from . import langid, line_dedup, lm, mixing, packing, quality_fm, quality_rules, simhash
 from .common import documents, labels
 
 
@@ -38,6 +38,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.query(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_fm": op7_quality_fm,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
