@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm, mixing, packing, quality_fm, quality_rules, simhash
+from . import langid, line_dedup, lm, mixing, packing, quality_fm, quality_rules, simhash, suffix_dedup
 from .common import documents, labels
 
 
@@ -14,6 +14,10 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_packing": op3_packing,
         "op4_suffix_tree": op4_suffix_tree,
         "op6_quality_rules": op6_quality_rules,
