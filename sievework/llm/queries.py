@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm, mixing, packing, quality_fm, quality_rules, simhash, suffix_dedup
+from . import langid, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, suffix_dedup
 from .common import documents, labels
 
 
@@ -26,6 +26,10 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.query(documents(spark, sf_dir))
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.query(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_packing": op3_packing,
         "op4_suffix_tree": op4_suffix_tree,
+        "op5_media": op5_media,
         "op6_quality_rules": op6_quality_rules,
         "op7_quality_fm": op7_quality_fm,
         "op8_mixing": op8_mixing,
