@@ -183,6 +183,19 @@ def identify(docs: DataFrame, learn: Column, switch: float = SWITCH) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, lang_pred string, score double, n_spans int")
 
 
+def accepted(docs: DataFrame, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs whose language can be told: those that identify() doesn't call `und`."""
+    model = docs.sparkSession.sparkContext.broadcast(trained(docs.filter(F.col("lang").isNotNull())))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            if model.value[0]:
+                *_, letters = labelled(*text_buffers(b.column("text")), model.value, switch)
+                yield b.filter(pa.array(letters > 0))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out() -> Column:
     return fold(F.col("doc_id"), 4) == 2
 

@@ -99,9 +99,9 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float]
     """
     mark = F.xxhash64(F.lit(seed), F.col(ident))
     rows = docs.select("*", F.array_sort(F.array_distinct(members)).alias("mix_members"), size.cast("long").alias("mix_size"), mark.alias("mix_order"))
-    rows = cut(rows.withColumn("mix_bucket", F.pmod("mix_order", F.lit(BUCKETS)).cast("int")))
-    cells = cut(rows.groupBy("mix_members", "mix_bucket").agg(F.sum("mix_size").alias("words")))
-    supply = {tuple(r[0]): int(r[1]) for r in cells.groupBy("mix_members").agg(F.sum("words")).collect()}
+    rows = rows.withColumn("mix_bucket", F.pmod("mix_order", F.lit(BUCKETS)).cast("int"))
+    cells = cut(rows.groupBy("mix_members", "mix_bucket").agg(F.sum("mix_size").alias("mix_words")))
+    supply = {tuple(r[0]): int(r[1]) for r in cells.groupBy("mix_members").agg(F.sum("mix_words")).collect()}
     sizes: dict = {}
     for p, n in supply.items():
         for s in p:
@@ -109,17 +109,17 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float]
     goal = targets(sizes, weights, share, most)
     taken = flow(supply, {s: round(t) for s, t in goal.items()}, most)
     plan = [(list(p), taken[p] // n if n else 0, taken[p] % n if n else 0) for p, n in supply.items()]
-    kind = T.StructType([T.StructField("mix_members", rows.schema["mix_members"].dataType), T.StructField("passes", T.LongType()), T.StructField("rest", T.LongType())])
+    kind = T.StructType([T.StructField("mix_members", rows.schema["mix_members"].dataType), T.StructField("mix_passes", T.LongType()), T.StructField("mix_rest", T.LongType())])
     plan = docs.sparkSession.createDataFrame(plan, kind)
     # "upto": words in a pattern's buckets before this one; BUCKETS rows a pattern at most
-    upto = cells.join(plan, "mix_members").select("*", F.expr("sum(words) over (partition by mix_members order by mix_bucket) - words").alias("upto"))
-    edge = upto.filter("upto < rest and rest <= upto + words").groupBy("mix_members").agg(F.min(F.struct("mix_bucket", "upto")).alias("edge"))
-    plan = cut(plan.join(edge, "mix_members", "left").select("mix_members", "passes", "rest", F.coalesce(F.col("edge.mix_bucket"), F.lit(-1)).alias("edge_bucket"), F.coalesce(F.col("edge.upto"), F.lit(0)).alias("edge_upto")))
+    upto = cells.join(plan, "mix_members").select("*", F.expr("sum(mix_words) over (partition by mix_members order by mix_bucket) - mix_words").alias("upto"))
+    edge = upto.filter("upto < mix_rest and mix_rest <= upto + mix_words").groupBy("mix_members").agg(F.min(F.struct("mix_bucket", "upto")).alias("edge"))
+    plan = cut(plan.join(edge, "mix_members", "left").select("mix_members", "mix_passes", "mix_rest", F.coalesce(F.col("edge.mix_bucket"), F.lit(-1)).alias("mix_edge"), F.coalesce(F.col("edge.upto"), F.lit(0)).alias("mix_upto")))
     placed = rows.join(plan, "mix_members")
-    whole = placed.filter("mix_bucket <> edge_bucket").withColumn("mix_times", F.expr("passes + if(mix_bucket < edge_bucket, 1, 0)"))
+    whole = placed.filter("mix_bucket <> mix_edge").withColumn("mix_times", F.expr("mix_passes + if(mix_bucket < mix_edge, 1, 0)"))
     inner = f"sum(mix_size) over (partition by mix_members order by mix_order, {ident}, mix_size rows unbounded preceding)"
-    part = placed.filter("mix_bucket = edge_bucket").withColumn("mix_times", F.expr(f"passes + if(edge_upto + {inner} - mix_size / 2 <= rest, 1, 0)"))
-    return whole.unionByName(part).drop("passes", "rest", "edge_bucket", "edge_upto", "mix_bucket", "mix_order"), sizes, goal
+    part = placed.filter("mix_bucket = mix_edge").withColumn("mix_times", F.expr(f"mix_passes + if(mix_upto + {inner} - mix_size / 2 <= mix_rest, 1, 0)"))
+    return whole.unionByName(part).drop("mix_passes", "mix_rest", "mix_edge", "mix_upto", "mix_bucket", "mix_order"), sizes, goal
 
 
 def words(text: str) -> Column:
@@ -127,7 +127,7 @@ def words(text: str) -> Column:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    lean = docs.select("doc_id", F.col("source").cast("string").alias("source"), words("text").alias("n"))
+    lean = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), words("text").alias("n")))
     mixed, sizes, goal = mix(lean, F.array("source"), F.col("n"))
     table = docs.sparkSession.createDataFrame([(s, n, float(goal[s])) for s, n in sizes.items()], "source string, source_size long, target double")
     out = mixed.withColumnRenamed("source", "own").join(table, F.col("own").eqNullSafe(F.col("source")))

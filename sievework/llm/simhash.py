@@ -64,15 +64,15 @@ def shingle_bits(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarra
 
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, th, fp): the text's hash, and the fingerprint as a signed long."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = shingle_bits(*text_buffers(b.column("text")), width)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fp.view(np.int64))], ["doc_id", "th", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(make, f"doc_id {kind}, th long, fp long")
 
 
 class Planes:
@@ -221,26 +221,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs."""
+    """(doc_id, th, fp, root, component_id) for each row of docs; rows of a component share its root."""
     prints = cut(fingerprints(docs, width))
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
     placed = cut(classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))
-    named = placed.join(placed.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = placed.join(placed.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def query(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def first_of_each(docs: DataFrame, width: int = 5, radius: int = 3) -> DataFrame:
-    """docs without near copies: of each component the row with the smallest doc_id stays.
-
-    Of rows that share that doc_id and component one stays, whichever comes first in
-    the order of their columns' hash.
-    """
+def first_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """docs without near copies: of each component one row with the smallest doc_id stays; nulls come last."""
     found = near_duplicates(docs, width, radius)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keep, docs.doc_id.eqNullSafe(keep.doc_id), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"))).alias("row"))
+    keep = first.select(F.col("row.doc_id").alias("keep_doc"), F.col("row.th").alias("keep_th"))
+    kept = docs.withColumn("keep_of", F.xxhash64("text"))
+    kept = kept.join(keep, kept.doc_id.eqNullSafe(keep.keep_doc) & (kept.keep_of == keep.keep_th), "left_semi")
+    return kept.dropDuplicates(["doc_id", "keep_of"]).drop("keep_of")
