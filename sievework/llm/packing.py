@@ -17,9 +17,9 @@ Null and empty texts are the end id alone.  Repeated rows are packed once each.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -33,7 +33,8 @@ from .common import partitions, slices, stored
 WINDOW = 2048
 END = 1
 SWEEPS = 30
-CACHE = 300_000
+#: How many words an encoder remembers at most.
+CACHE = 600_000
 
 
 class Encoder:
@@ -44,7 +45,7 @@ class Encoder:
     """
 
     #: Separators on which the two kinds of splitting differ, a letter whose lower case depends on its place, special tokens.
-    odd = re.compile("[\x1c-\x1fΣ]|<\\|")
+    odd = ("\x1c", "\x1d", "\x1e", "\x1f", "Σ", "<|")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,28 +53,46 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = self.code
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, text: str) -> list[str] | None:
-        if self.odd.search(text) or not unicodedata.is_normalized("NFC", text):
+        if any(x in text for x in self.odd) or not unicodedata.is_normalized("NFC", text):
             return None
         low = text.lower()
         return low.split() if low.isascii() or unicodedata.is_normalized("NFC", low) else None
 
+    def learn(self, words: set[str]) -> None:
+        """Sees to it that all these words are known.
+
+        A comma or stop after a letter is a token sequence of its own, so a word that ends
+        in one is known if the rest is.
+        """
+        known, older = self.known, self.older
+        again = words & older.keys()
+        known.update((w, older[w]) for w in again)
+        marked = [w for w in words - again if w[-1] in ",." and len(w) > 1 and w[-2].isalpha()]
+        bare = {w[:-1] for w in marked} - known.keys()
+        again = bare & older.keys()
+        known.update((w, older[w]) for w in again)
+        new = list((words - known.keys()).difference(marked) | (bare - known.keys()) | ({",", "."} - known.keys()))
+        known.update(zip(new, self.whole(new), strict=True))
+        known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if len(self.known) > CACHE // 2:  # what isn't used meanwhile is forgotten next time
+            self.known, self.older = {}, self.known
         split = [self.words(t) for t in texts]
-        new = list({w for words in split if words for w in words} - self.known.keys())
-        if new:
-            self.known.update(zip(new, self.whole(new), strict=True))
+        self.learn(set().union(*filter(None, split)).difference(self.known))
         end = np.array([END], self.kind).tobytes()
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words] if words is not None else self.whole([t])) + end, self.kind) for t, words in zip(texts, split, strict=True)]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words) if words is not None else self.whole([t])) + end, self.kind) for t, words in zip(texts, split, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
