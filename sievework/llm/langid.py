@@ -104,7 +104,7 @@ def trained(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndar
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([x] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["lang", "slot", "n"])
 
-    counts = docs.select("text", "lang").mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.select("text", "lang").mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     langs = sorted(counts["lang"].unique())
     table = np.zeros((len(langs), width))
     for i, x in enumerate(langs):

@@ -185,7 +185,7 @@ def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(h1, h2, line) for the lines in pairs, and some others that a filter of fixed size lets through."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     bit = F.pmod("h", F.lit(FILTER))
-    words = ids.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {FILTER}) & 31 as int))")).alias("bits")).toPandas()  # FILTER / 32 rows at most
+    words = ids.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {FILTER}) & 31 as int))")).alias("bits")).toArrow().to_pandas()  # FILTER / 32 rows at most
     table = np.zeros(FILTER // 32, np.uint32)
     table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     held = docs.sparkSession.sparkContext.broadcast(table)

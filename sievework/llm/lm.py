@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, fold, partitions, slices, span_hashes, stored, text_buffers, word_spans
+from .common import LOWER, cut, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
 
 #: The longest context, in bytes.
 DEPTH = 6
@@ -78,9 +78,9 @@ def grams(text: np.ndarray, edges: np.ndarray, depth: int) -> np.ndarray:
 
 def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFrame:
     """One pass over the texts. kind 0: a slice's documents; 1: its words for a bucket; 2: n-gram counts of a task."""
-    schema = "kind int, slice string, bucket int, a binary, b binary, c binary, gram long, n long, doc array<struct<doc_id:string,th:long,n_tokens:long,n_words:int>>"
+    schema = "kind int, slice string, bucket int, a binary, b binary, c binary, doc array<struct<doc_id:string,th:long,n_tokens:long,n_words:int>>"
     docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("th"), learn.alias("learn"))
-    kinds = [("kind", pa.int32()), ("slice", pa.string()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("gram", pa.int64()), ("n", pa.int64()), ("doc", pa.list_(pa.struct([("doc_id", pa.string()), ("th", pa.int64()), ("n_tokens", pa.int64()), ("n_words", pa.int32())])))]
+    kinds = [("kind", pa.int32()), ("slice", pa.string()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("doc", pa.list_(pa.struct([("doc_id", pa.string()), ("th", pa.int64()), ("n_tokens", pa.int64()), ("n_words", pa.int32())])))]
 
     def batch(rows: int, /, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(rows, t) for k, t in kinds], [k for k, _ in kinds])
@@ -125,13 +125,30 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
         return [code], [np.bincount(back, np.concatenate(often)).astype(np.int64)]
 
     def spelled(codes: list, often: list) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(codes[0]), 200_000):
-            code, n = codes[0][k : k + 200_000], often[0][k : k + 200_000]
-            yield batch(len(code), kind=np.full(len(code), 2), gram=code.view(np.int64), n=n)
+        code, n = codes[0], often[0]
+        part = ((mix(code) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        edge = np.searchsorted(part[order], np.arange(buckets + 1))
+        parts = [order[i:j] for i, j in zip(edge, edge[1:]) if j > i]
+        yield batch(len(parts), kind=[2] * len(parts), bucket=np.flatnonzero(np.diff(edge)), a=[code[p].tobytes() for p in parts], b=[n[p].astype("<u4").tobytes() for p in parts])
 
     return docs.mapInArrow(make, schema)
 
 
+def summed(table: DataFrame, buckets: int) -> DataFrame:
+    """(gram, n): the n-grams' counts over all tasks."""
+
+    def add(group: pa.Table) -> pa.Table:
+        code = np.concatenate([np.frombuffer(x, "<u8") for x in group.column("a").to_pylist()])
+        often = np.concatenate([np.frombuffer(x, "<u4") for x in group.column("b").to_pylist()])
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        return pa.table({"gram": code[first].view(np.int64), "n": np.add.reduceat(often[order], first, dtype=np.int64)})
+
+    return table.select("bucket", "a", "b").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, "gram long, n long")
+
+
 def answers(requests: DataFrame, buckets: int) -> DataFrame:
     """For each slice and bucket the words' counts in all training texts; with every bucket its distinct words."""
 
@@ -199,7 +216,7 @@ def tree(grams: DataFrame, depth: int, share: float = SHARE, least: int = LEAST,
             parent = levels[k - 1].select(F.col("ctx").alias("up"), "sym", (F.col("n") / F.col("total")).alias("q"))
             gain = own.join(parent, (F.col("ctx").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)) == parent.up) & (own.sym == parent.sym)).groupBy("ctx").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("gain"))
             own = own.join(gain.filter(F.col("gain") >= diverge).select("ctx"), "ctx")
-        got = own.select("ctx", "sym", "n", "total", "kinds").toPandas().sort_values(["ctx", "sym"])
+        got = own.select("ctx", "sym", "n", "total", "kinds").toArrow().to_pandas().sort_values(["ctx", "sym"])
         ctx = got["ctx"].to_numpy(np.int64).view(np.uint64)
         new = np.r_[True, ctx[1:] != ctx[:-1]][: len(ctx)]
         out.append((ctx[new], got["total"].to_numpy(np.float32)[new], got["kinds"].to_numpy(np.float32)[new], ctx << np.uint64(8) | got["sym"].to_numpy(np.uint64), got["n"].to_numpy(np.float32)))
@@ -273,7 +290,7 @@ def scored(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
     buckets = partitions(docs.sparkSession)
     table = stored(counted(docs, learn, depth, buckets))
     words = word_scores(table, buckets).dropDuplicates(["key", "th"])
-    levels = tree(table.filter("kind = 2").select("gram", "n"), depth)
+    levels = tree(summed(table.filter("kind = 2"), buckets), depth)
     own = tree_scores(docs, levels, depth)
     return own.join(words, F.col("doc_id").cast("string").eqNullSafe(F.col("key")) & own.th.eqNullSafe(words.th)).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
