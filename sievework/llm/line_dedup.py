@@ -8,7 +8,9 @@ ones.
 
 If two lines differ by at most k edits and one is cut into k + 1 segments, a segment
 occurs unchanged in the other, at a place that its length and the difference in length
-narrow down.  Each slice of documents sends the hashes of its distinct lines' segments
+narrow down.  k edits also change at most 2 k counts of byte classes by one, so pairs
+that share a segment by chance or by copying, but differ elsewhere, mostly end where they
+meet.  Each slice of documents sends the hashes of its distinct lines' segments
 (the index) and of the substrings to look up (the probes) to the buckets that hold them,
 as packed arrays; a line that is everywhere is sent once a slice.  Candidates are then
 verified on their texts by a banded bit-parallel edit distance, many pairs in a step.
@@ -27,14 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix, partitions, powers, slices, stored, text_buffers, BASE, BYTE_CODE
+from .common import BASE, BYTE_CODE, cut, mix, partitions, powers, slices, stored, text_buffers
 
 LIMIT = 2
 SHORT = 24
 NEAR = 48
 #: Bits of the filter that tells candidates' lines from the rest.
 FILTER = 1 << 24
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 BACK = pow(BASE, -1, 1 << 64)
 _backs = np.ones(1, np.uint64)
 
@@ -102,7 +104,7 @@ def keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, line: np.nda
 
 
 def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
-    """(bucket, ikey, iline, pkey, pline): packed 64-bit values of a slice for a bucket."""
+    """(bucket, ikey, iline, isign, pkey, pline, psign): keys of 32 bits, lines and their signatures of 64, packed, of a slice for a bucket."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -116,12 +118,13 @@ def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
             line, first = np.unique(line, return_index=True)
             order = np.argsort(starts[first])
             line, starts, ends = line[order], starts[first][order], ends[first][order]
+            sign = signatures(data, starts, ends)
             group = (starts // CHUNK).astype(int)
             found: list = [[], []]
             for g in np.unique(group):  # lines of about CHUNK bytes at once
                 own = group == g
                 low = int(starts[own].min())
-                for out, part in zip(found, keys(data[low : int(ends[own].max())], starts[own] - low, (ends - starts)[own], line[own], limit), strict=True):
+                for out, part in zip(found, keys(data[low : int(ends[own].max())], starts[own] - low, (ends - starts)[own], np.flatnonzero(own), limit), strict=True):
                     out.append(part)
             blobs = []
             for part in found:
@@ -129,34 +132,52 @@ def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
                 order = np.argsort(key)
                 key, of = key[order], of[order]
                 edge = np.searchsorted((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
-                for x in (key, of):
+                for x in (key.astype("<u4"), line[of], sign[of]):
                     blobs.append(pa.array([x[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)], pa.binary()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *blobs], ["bucket", "ikey", "iline", "pkey", "pline"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *blobs], ["bucket", "ikey", "iline", "isign", "pkey", "pline", "psign"])
 
-    return docs.select("text").mapInArrow(make, "bucket int, ikey binary, iline binary, pkey binary, pline binary")
+    return docs.select("text").mapInArrow(make, "bucket int, ikey binary, iline binary, isign binary, pkey binary, pline binary, psign binary")
 
 
-def distinct_pairs(key: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How often each of 16 classes of bytes occurs in a line, modulo 16, in four bits each."""
+    lengths = ends - starts
+    row = np.repeat(np.arange(len(starts)), lengths)
+    at = np.arange(len(row)) - (np.cumsum(lengths) - lengths)[row] + starts[row]
+    counts = np.bincount(row * 16 + (BYTE_CODE[data[at]] >> np.uint64(60)).astype(np.int64), minlength=16 * len(starts)).reshape(-1, 16)
+    return ((counts & 15).astype(np.uint64) << (4 * np.arange(16)).astype(np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+def alike(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """Whether signatures allow for at most limit edits."""
+    total = np.zeros(len(a), np.int64)
+    for k in range(16):
+        x = ((a >> np.uint64(4 * k)) - (b >> np.uint64(4 * k))).astype(np.int64) & 15
+        total += np.minimum(x, 16 - x)
+    return total <= 2 * limit
+
+
+def distinct_pairs(key: np.ndarray, line: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
     order = np.lexsort((line, key))
     key, line = key[order], line[order]
     new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])][: len(key)]
-    return key[new], line[new]
+    return key[new], line[new], *(m[order][new] for m in more)
 
 
-def candidates(blobs: DataFrame, buckets: int) -> DataFrame:
-    """(a, b) with a < b: lines where a probe of one finds a segment of the other."""
+def candidates(blobs: DataFrame, buckets: int, limit: int) -> DataFrame:
+    """(a, b) with a < b: lines where a probe of one finds a segment of the other, and whose signatures are alike."""
 
     def match(table: pa.Table) -> pa.Table:
-        ikey, iline, pkey, pline = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<u8") for c in ("ikey", "iline", "pkey", "pline"))
-        ikey, iline = distinct_pairs(ikey, iline)
-        pkey, pline = distinct_pairs(pkey, pline)
+        unpacked = [[np.frombuffer(b"".join(table.column(side + c).to_pylist()), "<u4" if c == "key" else "<u8") for c in ("key", "line", "sign")] for side in "ip"]
+        (ikey, iline, isign), (pkey, pline, psign) = (distinct_pairs(*x) for x in unpacked)
         low, high = np.searchsorted(ikey, pkey, side="left"), np.searchsorted(ikey, pkey, side="right")
         some = (high > low) & ~((high == low + 1) & (iline[np.minimum(low, max(len(iline) - 1, 0))] == pline) if len(iline) else False)
-        low, n, pline = low[some], (high - low)[some], pline[some]
+        low, n, pline, psign = low[some], (high - low)[some], pline[some], psign[some]
         out: list = []
         for part in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // (1 << 20))) + 1):
             at = np.repeat(low[part] - (np.cumsum(n[part]) - n[part]), n[part]) + np.arange(n[part].sum())
-            a, b = iline[at], np.repeat(pline[part], n[part])
+            near = alike(isign[at], np.repeat(psign[part], n[part]), limit)
+            a, b = iline[at][near], np.repeat(pline[part], n[part])[near]
             a, b = np.minimum(a, b), np.maximum(a, b)
             out.append(distinct_pairs(a[a != b], b[a != b]))
         a, b = (np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
@@ -273,7 +294,7 @@ def plain_distance(a: bytes, b: bytes) -> int:
 def links(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(a1, a2, b1, b2): different lines at most `limit` edits apart, once each."""
     buckets = partitions(docs.sparkSession)
-    pairs = cut(candidates(segment_blobs(docs, limit, buckets), buckets))
+    pairs = cut(candidates(segment_blobs(docs, limit, buckets), buckets, limit))
     texts = cut(wanted_texts(docs, pairs))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
