@@ -58,7 +58,7 @@ def routed(records: DataFrame, route: Route) -> DataFrame:
         F.concat(F.when(hit, F.lit(route.match_url)).otherwise(F.lit(route.default_url)), F.coalesce("path", F.lit(""))).alias("url"),
         F.when(hit, matched).otherwise(kept).alias("headers"),
         "model",
-        int_or(low["content-length"]).alias("length"),
+        int_or(F.get(F.filter(last, lambda e: F.lower(e["key"]) == "content-length"), F.lit(0))["value"]).alias("length"),
     )
 
 
