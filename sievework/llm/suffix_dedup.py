@@ -60,18 +60,31 @@ def minimizers(data: np.ndarray, offsets: np.ndarray, span: int, anchor: int) ->
     return start, count, low[start], row[start]
 
 
-def ranked(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the columns, the first first; and the rank of each row, equal rows having the same."""
-    order = np.lexsort(columns[::-1])
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the values; and the rank of each, equal ones having the same."""
+    order = np.argsort(values)
     new = np.zeros(len(order), bool)
-    for c in columns:
-        s = c[order]
-        new[1:] |= s[1:] != s[:-1]
+    s = values[order]
+    new[1:] = s[1:] != s[:-1]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(new)
     return order, rank
 
 
+def packed(*columns: np.ndarray) -> np.ndarray:
+    """One number for each row, in the order of the columns, the first first. Columns aren't negative."""
+    out = columns[0].astype(np.int64)
+    top = int(out.max(initial=0)) + 1
+    for c in columns[1:]:
+        size = int(c.max(initial=0)) + 1
+        if top * size >= 1 << 62:
+            out = ranked(out)[1]
+            top = int(out.max(initial=0)) + 1
+        out = out * size + c
+        top *= size
+    return out
+
+
 def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     """Ranks of the suffixes of text by at least their first `depth` symbols; text's symbols are positive.
 
@@ -79,42 +92,34 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     """
     n = len(text)
     if n < 3:
-        return ranked(*[np.r_[text[k:], np.zeros(k, text.dtype)] for k in range(n)])[1] if n else np.zeros(0, np.int64)
+        return ranked(packed(*[np.r_[text[k:], np.zeros(k, text.dtype)] for k in range(n)]))[1] if n else np.zeros(0, np.int64)
     padded = np.r_[text.astype(np.int64), 0, 0, 0]
     at = np.arange(n)
     one, two = at[at % 3 == 1], at[at % 3 == 2]
     if n % 3 == 1:
         one = np.r_[one, n]  # so that the sample at the end of the first half is a mark
     sample = np.r_[one, two]
-    width = int(padded.max()).bit_length()
-    if 3 * width <= 63:
-        value = (padded[sample] << (2 * width)) | (padded[np.minimum(sample + 1, n + 2)] << width) | padded[np.minimum(sample + 2, n + 2)]
-        order, name = ranked(value)
-    else:
-        order, name = ranked(padded[sample], padded[np.minimum(sample + 1, n + 2)], padded[np.minimum(sample + 2, n + 2)])
-    if depth > 3 and len(name) and name[order[-1]] + 1 < len(name):
+    order, name = ranked(packed(padded[sample], padded[sample + 1], padded[np.minimum(sample + 2, n + 2)]))
+    if depth > 3 and name[order[-1]] + 1 < len(name):
         name = suffix_ranks(name + 1, -(-depth // 3))  # a symbol of the names is a triple
+        order = np.empty(len(name), np.int64)
+        order[name] = np.arange(len(name))
     rank = np.zeros(n + 4, np.int64)
     rank[sample] = name + 1
     rank[n:] = 0
     # the others: their first symbol, and the rank of what follows
     zero = at[at % 3 == 0]
-    after, _ = ranked(padded[zero], rank[zero + 1])
-    zero = zero[after]
-    merged = sample[np.argsort(name, kind="stable")]
+    zero = zero[np.argsort(packed(padded[zero], rank[zero + 1]))]
+    merged = sample[order]
     merged = merged[merged < n]
     # merge: a suffix of the sample is compared with the others by one symbol and a rank if
     # its place is 1 modulo 3, by two symbols and a rank if it is 2
-    big = int(rank.max()) + 1
-    pair = np.zeros(n + 4, np.int64)
-    both = np.r_[zero, merged[merged % 3 == 2]]
-    pair[both] = ranked(padded[both + 1] * big + rank[both + 2])[1]
-    by_one = lambda i: padded[i] * big + rank[i + 1]
-    by_two = lambda i: padded[i] * (len(both) + 1) + pair[i]
     is_one = merged % 3 == 1
     place = np.empty(len(merged), np.int64)
-    place[is_one] = np.searchsorted(by_one(zero), by_one(merged[is_one]))
-    place[~is_one] = np.searchsorted(np.sort(by_two(zero)), by_two(merged[~is_one]))
+    for these, ahead in ((is_one, 1), (~is_one, 2)):
+        own = np.r_[zero, merged[these]]
+        key = packed(*[padded[own + k] for k in range(ahead)], rank[own + ahead])
+        place[these] = np.searchsorted(np.sort(key[: len(zero)]), key[len(zero) :])
     place = np.maximum.accumulate(place)
     total = np.empty(n, np.int64)
     total[merged] = np.arange(len(merged)) + place
