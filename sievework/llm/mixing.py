@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from .common import WORD, cut
 
 BUCKETS = 4096
+#: The patterns' plan is broadcast if it has at most so many rows, else it is joined by shuffling.
+BROADCAST = 100_000
 
 
 def targets(sizes: dict, weights: Sequence[float], share: float, most: float) -> dict:
@@ -115,7 +117,7 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float]
     upto = cells.join(plan, "mix_members").select("*", F.expr("sum(mix_words) over (partition by mix_members order by mix_bucket) - mix_words").alias("upto"))
     edge = upto.filter("upto < mix_rest and mix_rest <= upto + mix_words").groupBy("mix_members").agg(F.min(F.struct("mix_bucket", "upto")).alias("edge"))
     plan = cut(plan.join(edge, "mix_members", "left").select("mix_members", "mix_passes", "mix_rest", F.coalesce(F.col("edge.mix_bucket"), F.lit(-1)).alias("mix_edge"), F.coalesce(F.col("edge.upto"), F.lit(0)).alias("mix_upto")))
-    placed = rows.join(plan, "mix_members")
+    placed = rows.join(F.broadcast(plan) if len(supply) <= BROADCAST else plan, "mix_members")
     whole = placed.filter("mix_bucket <> mix_edge").withColumn("mix_times", F.expr("mix_passes + if(mix_bucket < mix_edge, 1, 0)"))
     inner = f"sum(mix_size) over (partition by mix_members order by mix_order, {ident}, mix_size rows unbounded preceding)"
     part = placed.filter("mix_bucket = mix_edge").withColumn("mix_times", F.expr(f"mix_passes + if(mix_upto + {inner} - mix_size / 2 <= mix_rest, 1, 0)"))
