@@ -65,5 +65,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Every 50-byte string of every text, as hexadecimal digits.
+OP2_SQL = """WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ p AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS w FROM (SELECT doc_id, h, unnest(range(greatest(n - 49, 0))) AS i FROM d)),
+ f AS (SELECT w, min(doc_id) AS m FROM p GROUP BY w),
+ k AS (SELECT doc_id, i, i > lag(i, 1, -100) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS new FROM p JOIN f USING (w) WHERE m < doc_id),
+ r AS (SELECT doc_id, run, min(i) AS s, max(i) + 50 AS e FROM (SELECT doc_id, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM k) GROUP BY doc_id, run),
+ g AS (SELECT doc_id, s, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS b, s AS t FROM r
+       UNION ALL SELECT d.doc_id, d.n + 1, coalesce(max(e), 0), d.n FROM d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.n),
+ x AS (SELECT doc_id, string_agg(substring(h, CAST(2 * b + 1 AS BIGINT), CAST(2 * (t - b) AS BIGINT)), '' ORDER BY s) AS kept FROM g JOIN d USING (doc_id) GROUP BY doc_id),
+ y AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)"""
+
+#: Distinct lines of nearly the same length; at most two edits leave some third of a line as it is.
+OP10_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents),
+ q AS (SELECT *, octet_length(encode(line)) AS n FROM l),
+ f AS (SELECT line, n, length(line) // 3 AS t, min({'d': doc_id, 'k': k}) AS p FROM q WHERE n >= 24 GROUP BY line, n),
+ s AS (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS m FROM f WHERE n >= 48),
+ o AS (SELECT a.line, min(b.p) AS o FROM s a JOIN f b ON a.m = b.n WHERE b.n >= 48 AND a.line <> b.line AND CASE
+       WHEN left(a.line, a.t) = left(b.line, a.t) OR right(a.line, a.t) = right(b.line, a.t) OR contains(b.line, substring(a.line, a.t + 1, a.t))
+       THEN levenshtein(a.line, b.line) <= 2 ELSE false END GROUP BY a.line),
+ e AS (SELECT f.line, CASE WHEN o < p THEN o ELSE p END AS p FROM f LEFT JOIN o USING (line)),
+ g AS (SELECT q.doc_id, q.k, q.line, coalesce({'d': doc_id, 'k': k} > p, false) AS gone FROM q LEFT JOIN e ON e.line = q.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_suffix_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL}
