@@ -35,6 +35,7 @@ ANCHOR = 20
 #: Suffixes that a task sorts at once; a minimizer's pieces are never divided.
 BLOCK = 1_000_000
 LAST = (1 << 63) - 1
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def minimizers(data: np.ndarray, offsets: np.ndarray, span: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +172,11 @@ def marked(docs: DataFrame) -> DataFrame:
 
 
 def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) -> DataFrame:
-    """(t1, mz): the minimizers of a text that some different text has too."""
+    """(t1, mz): the minimizers of a text that some different text has too, their low 32 bits.
+
+    A bucket holds few enough for these bits to tell nearly all of them apart; where they
+    don't, a piece more is sorted.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -183,17 +188,17 @@ def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) ->
             mz, text = mz[new], text[new]
             edge = np.searchsorted((mz >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(edge))
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary()) for x in (mz, text))], ["bucket", "mz", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary()) for x in ((mz & LOW).astype("<u4"), text))], ["bucket", "mz", "text"])
 
     def match(table: pa.Table) -> pa.Table:
-        mz = np.frombuffer(b"".join(table.column("mz").to_pylist()), "<u8")
+        mz = np.frombuffer(b"".join(table.column("mz").to_pylist()), "<u4")
         text = np.frombuffer(b"".join(table.column("text").to_pylist()), "<i8")
         order = np.argsort(mz, kind="stable")
         mz, text = mz[order], text[order]
         first = np.flatnonzero(np.r_[True, mz[1:] != mz[:-1]])
         several = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first)
         keep = np.repeat(several, np.diff(np.r_[first, len(mz)]))
-        return pa.table({"t1": text[keep], "mz": mz[keep].view(np.int64)})
+        return pa.table({"t1": text[keep], "mz": mz[keep].astype(np.int64)})
 
     blobs = docs.select("t1", "text").mapInArrow(make, "bucket int, mz binary, text binary")
     return blobs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(match, "t1 long, mz long")
@@ -213,7 +218,7 @@ def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataF
             # membership of (row, mz): both sides sorted by a scramble of the two
             mixed = lambda r, m: m ^ (r.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             table = np.sort(mixed(of, wanted))
-            key = mixed(row, mz)
+            key = mixed(row, mz & LOW)
             at = np.minimum(np.searchsorted(table, key), max(len(table) - 1, 0))
             use = (table[at] == key) if len(table) else np.zeros(len(key), bool)
             start, count, mz, row = start[use], count[use], mz[use], row[use]
