@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
+from .common import LOWER, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
 
 #: The longest context, in bytes.
 DEPTH = 6
@@ -76,6 +76,16 @@ def grams(text: np.ndarray, edges: np.ndarray, depth: int) -> np.ndarray:
     return code
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second bytes, and so on: of sorted numbers this compresses well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def unplaned(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFrame:
     """One pass over the texts. kind 0: a slice's documents; 1: its words for a bucket; 2: n-gram counts of a task."""
     schema = "kind int, slice string, bucket int, a binary, b binary, c binary, doc array<struct<doc_id:string,th:long,n_tokens:long,n_words:int>>"
@@ -130,7 +140,7 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
         order = np.argsort(part, kind="stable")
         edge = np.searchsorted(part[order], np.arange(buckets + 1))
         parts = [order[i:j] for i, j in zip(edge, edge[1:]) if j > i]
-        yield batch(len(parts), kind=[2] * len(parts), bucket=np.flatnonzero(np.diff(edge)), a=[code[p].tobytes() for p in parts], b=[n[p].astype("<u4").tobytes() for p in parts])
+        yield batch(len(parts), kind=[2] * len(parts), bucket=np.flatnonzero(np.diff(edge)), a=[planes(code[p].astype("<u8")) for p in parts], b=[planes(n[p].astype("<u4")) for p in parts])
 
     return docs.mapInArrow(make, schema)
 
@@ -139,8 +149,8 @@ def summed(table: DataFrame, buckets: int) -> DataFrame:
     """(gram, n): the n-grams' counts over all tasks."""
 
     def add(group: pa.Table) -> pa.Table:
-        code = np.concatenate([np.frombuffer(x, "<u8") for x in group.column("a").to_pylist()])
-        often = np.concatenate([np.frombuffer(x, "<u4") for x in group.column("b").to_pylist()])
+        code = np.concatenate([unplaned(x, "<u8") for x in group.column("a").to_pylist()])
+        often = np.concatenate([unplaned(x, "<u4") for x in group.column("b").to_pylist()])
         order = np.argsort(code)
         code = code[order]
         first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
@@ -198,24 +208,23 @@ def tree(grams: DataFrame, depth: int, share: float = SHARE, least: int = LEAST,
 
     grams: (gram, n). A context's code holds its bytes, the latest lowest.
     """
-    full = cut(grams.groupBy(F.shiftright("gram", 8).alias("ctx"), F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("sym")).agg(F.sum("n").alias("n")))
-    size = int(full.agg(F.sum("n")).first()[0] or 0)
+    level = stored(grams.groupBy(F.shiftright("gram", 8).alias("ctx"), F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("sym")).agg(F.sum("n").alias("n")))
+    size = int(level.agg(F.sum("n")).first()[0] or 0)
     floor = max(least, share * size)
     levels: list = [None] * (depth + 1)
-    level = full
     for k in range(depth, -1, -1):
         if k < depth:
-            level = level.groupBy(F.col("ctx").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("ctx"), "sym").agg(F.sum("n").alias("n"))
-            level = cut(level) if k == depth - 2 else level
-        totals = level.groupBy("ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter(F.col("total") >= floor if k else F.lit(True))
-        levels[k] = cut(level.join(totals, "ctx"))
+            level = stored(level.groupBy(F.col("ctx").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("ctx"), "sym").agg(F.sum("n").alias("n")))
+        whole = Window.partitionBy("ctx")  # 256 rows at most
+        levels[k] = level.select("*", F.sum("n").over(whole).alias("total"), F.count("*").over(whole).alias("kinds"))
+        levels[k] = stored(levels[k].filter(F.col("total") >= floor)) if k else levels[k]
     out = []
     for k in range(depth + 1):
         own = levels[k]
         if k:
             parent = levels[k - 1].select(F.col("ctx").alias("up"), "sym", (F.col("n") / F.col("total")).alias("q"))
             gain = own.join(parent, (F.col("ctx").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)) == parent.up) & (own.sym == parent.sym)).groupBy("ctx").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("gain"))
-            own = own.join(gain.filter(F.col("gain") >= diverge).select("ctx"), "ctx")
+            own = own.join(gain.filter(F.col("gain") >= diverge).select("ctx"), "ctx", "left_semi")
         got = own.select("ctx", "sym", "n", "total", "kinds").toArrow().to_pandas().sort_values(["ctx", "sym"])
         ctx = got["ctx"].to_numpy(np.int64).view(np.uint64)
         new = np.r_[True, ctx[1:] != ctx[:-1]][: len(ctx)]
