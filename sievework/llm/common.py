@@ -137,8 +137,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     firsts = np.cumsum(lengths) - lengths
-    local = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
-    values = BYTE_CODE[data[local + np.repeat(starts, lengths)]] * powers(int(lengths.max()))[local]
+    local = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(firsts.astype(np.int32), lengths)
+    values = BYTE_CODE[data[local + np.repeat(starts.astype(np.int32), lengths)]]
+    values *= powers(int(lengths.max()))[local]
     return mix(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
 
 

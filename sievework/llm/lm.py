@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
+from .common import LOWER, SPACE, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
 
 #: The longest context, in bytes.
 DEPTH = 6
@@ -38,6 +38,8 @@ LEAST = 4
 #: Least divergence from the suffix: nats in all, over the context's occurrences.
 DIVERGE = 6.0
 MARK, GAP = 10, 32
+#: Bytes of text that a task scores at once.
+SCORED_BYTES = 1 << 20
 LOG10 = np.log(10.0)
 
 
@@ -53,13 +55,11 @@ def chained(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     out = np.full(edges[-1], GAP, np.uint8)
     out[edges[1:] - 1] = MARK
     if len(starts):
-        firsts = np.cumsum(lengths) - lengths
         begin = np.cumsum(lengths + 1) - lengths - 1  # as if no row were empty
         empty = np.cumsum(count == 0)
         begin = begin + empty[row]  # an empty row is one byte
-        word = np.repeat(np.arange(len(starts)), lengths)
-        at = np.arange(len(word)) - firsts[word]
-        out[begin[word] + at] = low[starts[word] + at]
+        inside = np.flatnonzero(~SPACE[low])
+        out[np.repeat(begin - starts, lengths) + inside] = low[inside]
     return low, starts, ends, row, out, edges
 
 
@@ -67,12 +67,14 @@ def grams(text: np.ndarray, edges: np.ndarray, depth: int) -> np.ndarray:
     """For each byte the code of the depth bytes before it, in its row, and of the byte; marks stand before a row."""
     n = len(text)
     code = text.astype(np.uint64)
-    place = np.arange(n) - np.repeat(edges[:-1], np.diff(edges))
+    place = np.arange(n, dtype=np.int32) - np.repeat(edges[:-1].astype(np.int32), np.diff(edges))
     for k in range(1, depth + 1):
         prior = np.full(n, MARK, np.uint8)
         prior[k:] = text[:-k] if k < n else prior[k:]
         prior[place < k] = MARK
-        code |= prior.astype(np.uint64) << np.uint64(8 * k)
+        wide = prior.astype(np.uint64)
+        wide <<= np.uint64(8 * k)
+        code |= wide
     return code
 
 
@@ -119,7 +121,7 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
             if train.any():
                 code, n = np.unique(grams(text, edges, depth)[np.repeat(train, np.diff(edges))], return_counts=True)
                 codes.append(code)
-                often.append(n)
+                often.append(n.astype(np.uint32))
                 waiting += len(code)
                 if waiting > 3_000_000:
                     codes, often = merged(codes, often)
@@ -131,8 +133,11 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
             yield from spelled(*merged(codes, often))
 
     def merged(codes: list, often: list) -> tuple[list, list]:
-        code, back = np.unique(np.concatenate(codes), return_inverse=True)
-        return [code], [np.bincount(back, np.concatenate(often)).astype(np.int64)]
+        code = np.concatenate(codes)
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        return [code[first]], [np.add.reduceat(np.concatenate(often)[order], first)]
 
     def spelled(codes: list, often: list) -> Iterator[pa.RecordBatch]:
         code, n = codes[0], often[0]
@@ -285,7 +290,7 @@ def tree_scores(docs: DataFrame, levels: list, depth: int) -> DataFrame:
             _scorers.clear()
             _scorers[name] = Scorer(model.value)
         scorer = _scorers[name]
-        for b in slices(batches):
+        for b in slices(batches, most=SCORED_BYTES):
             *_, text, edges = chained(*text_buffers(b.column("text")))
             score = np.add.reduceat(scorer(grams(text, edges, depth)), edges[:-1], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(score)], ["doc_id", "th", "score"])
