@@ -38,8 +38,8 @@ LEAST = 4
 #: Least divergence from the suffix: nats in all, over the context's occurrences.
 DIVERGE = 6.0
 MARK, GAP = 10, 32
-#: Bytes of text that a task scores at once.
-SCORED_BYTES = 1 << 20
+#: Bytes of text that a task counts, or scores, at once.
+COUNTED_BYTES, SCORED_BYTES = 2 << 20, 1 << 20
 LOG10 = np.log(10.0)
 
 
@@ -101,7 +101,7 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
         task = TaskContext.get()
         name = f"{task.partitionId()}-{task.taskAttemptId()}-{os.urandom(4).hex()}"
         codes, often, waiting = [], [], 0
-        for number, b in enumerate(slices(batches)):
+        for number, b in enumerate(slices(batches, most=COUNTED_BYTES)):
             rows = b.num_rows
             train = b.column("learn").to_numpy(zero_copy_only=False).astype(bool)
             low, starts, ends, row, text, edges = chained(*text_buffers(b.column("text")))
@@ -115,15 +115,17 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
             part = ((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # rises with the hash
             edge = np.searchsorted(part, np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(edge))
-            yield batch(len(used), kind=[1] * len(used), slice=[f"{name}-{number}"] * len(used), bucket=used, a=[own[edge[k] : edge[k + 1]].tobytes() for k in used], b=[seen[edge[k] : edge[k + 1]].astype("<u4").tobytes() for k in used])
+            yield batch(len(used), kind=[1] * len(used), slice=[f"{name}-{number}"] * len(used), bucket=used, a=[planes(own[edge[k] : edge[k + 1]]) for k in used], b=[planes(seen[edge[k] : edge[k + 1]].astype("<u4")) for k in used])
             about = [{"doc_id": d, "th": h, "n_tokens": int(w) + 1, "n_words": int(k)} for d, h, w, k in zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), words, distinct, strict=True)]
-            yield batch(1, kind=[0], slice=[f"{name}-{number}"], a=[word.astype("<u4").tobytes()], b=[times.astype("<u4").tobytes()], c=[np.array([train.sum(), words[train].sum()], "<i8").tobytes()], doc=[about])
+            step = word.copy()  # a row's words rise, so that their differences are small
+            step[1:] -= np.where(of[1:] == of[:-1], word[:-1], 0)
+            yield batch(1, kind=[0], slice=[f"{name}-{number}"], a=[planes(step.astype("<u4"))], b=[planes(times.astype("<u4"))], c=[np.array([train.sum(), words[train].sum()], "<i8").tobytes()], doc=[about])
             if train.any():
                 code, n = np.unique(grams(text, edges, depth)[np.repeat(train, np.diff(edges))], return_counts=True)
                 codes.append(code)
                 often.append(n.astype(np.uint32))
                 waiting += len(code)
-                if waiting > 3_000_000:
+                if waiting > 2_500_000:
                     codes, often = merged(codes, often)
                     waiting = len(codes[0])
                     if waiting > 1_500_000:
@@ -168,13 +170,13 @@ def answers(requests: DataFrame, buckets: int) -> DataFrame:
     """For each slice and bucket the words' counts in all training texts; with every bucket its distinct words."""
 
     def answer(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, "<u8") for x in table.column("a").to_pylist()]
-        seen = [np.frombuffer(x, "<u4") for x in table.column("b").to_pylist()]
+        hashes = [unplaned(x, "<u8") for x in table.column("a").to_pylist()]
+        seen = [unplaned(x, "<u4") for x in table.column("b").to_pylist()]
         _, back = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(back, np.concatenate(seen))
         reply = np.split(total[back].astype("<u4"), np.cumsum([len(h) for h in hashes])[:-1])
         known = [int((total > 0).sum()), *[0] * (len(hashes) - 1)]
-        return pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "reply": pa.array([r.tobytes() for r in reply], pa.binary()), "distinct": pa.array(known, pa.int64())})
+        return pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "reply": pa.array([planes(r) for r in reply], pa.binary()), "distinct": pa.array(known, pa.int64())})
 
     return requests.select("slice", "bucket", "a", "b").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice string, bucket int, reply binary, distinct long")
 
@@ -194,11 +196,14 @@ def word_scores(table: DataFrame, buckets: int) -> DataFrame:
         bucket = group.column("bucket").to_pylist()
         order = sorted((k for k in range(len(bucket)) if bucket[k] is not None), key=lambda k: bucket[k])
         reply = group.column("reply").to_pylist()
-        counts = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(reply[k], "<u4") for k in order)])
+        counts = np.concatenate([np.zeros(0, "<u4"), *(unplaned(reply[k], "<u4") for k in order)])
         here = bucket.index(None)
         doc = group.column("doc")[here].as_py()
-        word, times = (np.frombuffer(group.column(c)[here].as_py(), "<u4") for c in ("a", "b"))
-        row = np.repeat(np.arange(len(doc)), [d["n_words"] for d in doc])
+        step, times = (unplaned(group.column(c)[here].as_py(), "<u4") for c in ("a", "b"))
+        words = np.array([d["n_words"] for d in doc], np.int64)
+        row = np.repeat(np.arange(len(doc)), words)
+        word = np.cumsum(step, dtype=np.int64)
+        word -= np.repeat(np.r_[0, word][np.cumsum(words) - words], words)
         c = counts[word].astype(float)
         base = np.bincount(row, times * (np.log10(c + 1) - whole), len(doc)) + ended
         known = np.bincount(row, times * (c > 0), len(doc)).astype(np.int64) + (texts > 0)
