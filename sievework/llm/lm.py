@@ -125,10 +125,10 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
                 codes.append(code)
                 often.append(n.astype(np.uint32))
                 waiting += len(code)
-                if waiting > 2_500_000:
+                if waiting > 1_500_000:
                     codes, often = merged(codes, often)
                     waiting = len(codes[0])
-                    if waiting > 1_500_000:
+                    if waiting > 750_000:
                         yield from spelled(codes, often)
                         codes, often, waiting = [], [], 0
         if codes:
@@ -143,7 +143,8 @@ def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFra
 
     def spelled(codes: list, often: list) -> Iterator[pa.RecordBatch]:
         code, n = codes[0], often[0]
-        part = ((mix(code) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # n-grams that begin alike stay together, so that sorted ones have small differences
+        part = ((mix(code >> np.uint64(24)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         edge = np.searchsorted(part[order], np.arange(buckets + 1))
         parts = [order[i:j] for i, j in zip(edge, edge[1:]) if j > i]
@@ -307,7 +308,7 @@ def tree_scores(docs: DataFrame, levels: list, depth: int) -> DataFrame:
 def scored(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
     """Word counts' and tree's scores for each row of docs; learn: which rows are learned from."""
     buckets = partitions(docs.sparkSession)
-    table = stored(counted(docs, learn, depth, buckets))
+    table = stored(counted(docs, learn, depth, buckets), compression="zstd")
     words = word_scores(table, buckets).dropDuplicates(["key", "th"])
     levels = tree(summed(table.filter("kind = 2"), buckets), depth)
     own = tree_scores(docs, levels, depth)
