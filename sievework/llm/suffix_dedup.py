@@ -170,7 +170,7 @@ RUNS = "array<struct<skip:int,n:int,least:long>>"
 
 def marked(docs: DataFrame) -> DataFrame:
     """docs' text with t1 and t2, two hashes of it, and d, the doc_id for comparison."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text")})
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text").cast("int")})
 
 
 def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) -> DataFrame:
@@ -207,7 +207,7 @@ def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) ->
 
 
 def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataFrame:
-    """(t1, d, start, mz, piece): runs of strings whose minimizer is shared, with their bytes."""
+    """(t1, t2, d, start, mz, piece): runs of strings whose minimizer is shared, with their bytes."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -226,10 +226,10 @@ def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataF
             start, count, mz, row = start[use], count[use], mz[use], row[use]
             raw = data.tobytes()
             own = pa.array(row)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(own) for c in ("t1", "d")), pa.array((start - offsets[row]).astype(np.int32)), pa.array(mz.view(np.int64)), pa.array([raw[i:j] for i, j in zip(start.tolist(), (start + count + span - 1).tolist(), strict=True)], pa.binary())], ["t1", "d", "start", "mz", "piece"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(own) for c in ("t1", "t2", "d")), pa.array((start - offsets[row]).astype(np.int32)), pa.array(mz.view(np.int64)), pa.array([raw[i:j] for i, j in zip(start.tolist(), (start + count + span - 1).tolist(), strict=True)], pa.binary())], ["t1", "t2", "d", "start", "mz", "piece"])
 
     lists = shared.groupBy("t1").agg(F.collect_set("mz").alias("shared"))
-    return texts.join(lists, "t1").select("t1", "d", "text", "shared").mapInArrow(make, "t1 long, d long, start int, mz long, piece binary")
+    return texts.join(lists, "t1").select("t1", "t2", "d", "text", "shared").mapInArrow(make, "t1 long, t2 int, d long, start int, mz long, piece binary")
 
 
 def owners(found: DataFrame, span: int, block: int) -> DataFrame:
@@ -301,8 +301,8 @@ def covered(texts: DataFrame, marks: DataFrame, span: int) -> DataFrame:
             kept = [hashlib.sha256(raw[i:j] if not own else data[i:j][~gone[i:j]].tobytes()).hexdigest() for i, j, own in zip(offsets.tolist(), offsets[1:].tolist(), lists, strict=False)]
             yield pa.RecordBatch.from_arrays([b.column("t1"), b.column("t2"), pa.array(sums[offsets[1:]] - sums[offsets[:-1]]), pa.array(runs[offsets[1:]] - runs[offsets[:-1]]), pa.array(kept)], ["t1", "t2", "n_removed", "n_spans", "kept_sha256"])
 
-    lists = marks.groupBy("t1", "d").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
-    return texts.join(lists, ["t1", "d"], "left").select("t1", "t2", "text", "marks").mapInArrow(make, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string")
+    lists = marks.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    return texts.join(lists, ["t1", "t2"], "left").select("t1", "t2", "text", "marks").mapInArrow(make, "t1 long, t2 int, n_removed long, n_spans long, kept_sha256 string")
 
 
 def deduped(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
@@ -312,11 +312,11 @@ def deduped(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, block: int
     shared = stored(shared_minimizers(rows, span, anchor, partitions(docs.sparkSession)))
     found = stored(pieces(texts, shared, span, anchor), compression="zstd")
     owned = stored(owners(found, span, block))
-    hits = found.select("t1", "d", "start", "mz", F.xxhash64("piece").alias("ph")).join(owned, ["mz", "ph"])
-    hits = hits.select("t1", "d", "start", F.explode("runs").alias("r")).filter("r.least < d")
-    marks = hits.select("t1", "d", (F.col("start") + F.col("r.skip")).alias("start"), F.col("r.n").cast("long").alias("n"))
+    hits = found.select("t1", "t2", "d", "start", "mz", F.xxhash64("piece").alias("ph")).join(owned, ["mz", "ph"])
+    hits = hits.select("t1", "t2", "d", "start", F.explode("runs").alias("r")).filter("r.least < d")
+    marks = hits.select("t1", "t2", (F.col("start") + F.col("r.skip")).alias("start"), F.col("r.n").cast("long").alias("n"))
     firsts = stored(covered(texts, marks, span).join(rows.groupBy("t1", "t2").agg(F.min("d").alias("first")), ["t1", "t2"]))
-    own = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), F.xxhash64(F.lit("second"), F.coalesce("text", F.lit(""))).alias("t2"))
+    own = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), F.xxhash64(F.lit("second"), F.coalesce("text", F.lit(""))).cast("int").alias("t2"))
     copy = (F.col("d") > F.col("first")) & (F.col("n_bytes") >= span)
     return own.join(firsts, ["t1", "t2"]).select(
         "doc_id",
