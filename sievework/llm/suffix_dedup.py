@@ -170,7 +170,7 @@ RUNS = "array<struct<skip:int,n:int,least:long>>"
 
 def marked(docs: DataFrame) -> DataFrame:
     """docs' text with t1 and t2, two hashes of it, and d, the doc_id for comparison."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text").cast("int")})
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"t1": F.xxhash64("text"), "t2": F.hash("text")})
 
 
 def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) -> DataFrame:
@@ -316,7 +316,7 @@ def deduped(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, block: int
     hits = hits.select("t1", "t2", "d", "start", F.explode("runs").alias("r")).filter("r.least < d")
     marks = hits.select("t1", "t2", (F.col("start") + F.col("r.skip")).alias("start"), F.col("r.n").cast("long").alias("n"))
     firsts = stored(covered(texts, marks, span).join(rows.groupBy("t1", "t2").agg(F.min("d").alias("first")), ["t1", "t2"]))
-    own = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), F.xxhash64(F.lit("second"), F.coalesce("text", F.lit(""))).cast("int").alias("t2"))
+    own = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), F.hash(F.coalesce("text", F.lit(""))).alias("t2"))
     copy = (F.col("d") > F.col("first")) & (F.col("n_bytes") >= span)
     return own.join(firsts, ["t1", "t2"]).select(
         "doc_id",
