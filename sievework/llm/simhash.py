@@ -236,7 +236,11 @@ def query(docs: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     """docs without near copies: of each component one row with the smallest doc_id stays; nulls come last."""
-    found = near_duplicates(docs, width, radius)
+    return first_rows(docs, near_duplicates(docs, width, radius))
+
+
+def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with one row for each root of found (doc_id, th, root)."""
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"))).alias("row"))
     keep = first.select(F.col("row.doc_id").alias("keep_doc"), F.col("row.th").alias("keep_th"))
     kept = docs.withColumn("keep_of", F.xxhash64("text"))
