@@ -7,6 +7,7 @@ on its own.  Nulls count as empty texts.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -43,15 +44,32 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one under /tmp only where none is set."""
+    """The folder that driver and executors share.
+
+    Where neither the context nor spark.checkpoint.dir names one, a local session gets a
+    folder of its own and a cluster an error, since its machines share no temporary folder.
+    """
+    context = spark.sparkContext
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "/tmp/sievework-checkpoints"
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(found)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="sievework-")
+    context.setCheckpointDir(found)
     return found
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Ends the lineage: df is computed now, into the shared folder."""
     shared_dir(df.sparkSession)
@@ -60,7 +78,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, **options: str) -> DataFrame:
     """Like cut(), as a Parquet table: smaller, and its columns can be read one by one."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

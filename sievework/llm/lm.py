@@ -1,318 +1,352 @@
-"""Language-model scores: a probabilistic suffix tree beside smoothed word counts.
-
-The tree predicts a text's bytes: its lower-cased words, a space between words, an end
-mark.  Every task counts the n-grams of its training texts; Spark sums them, derives the
-shorter contexts' counts level by level, and keeps a context if it is frequent enough (a
-share of the training bytes, which bounds how many there are) and its next-byte
-distribution diverges from that of its longest proper suffix.  Distributions are smoothed
-with those of the suffix (Witten-Bell).  A byte is scored by the longest suffix of what
-precedes it that is a state of the tree.
-
-Word counts are exact over all training texts.  Texts are read in slices; a slice sends
-each of its distinct words once to the bucket that counts it, as packed arrays, and gets
-the count back.  Words are told apart by 64-bit hashes of their bytes.
-
-A null text is empty: its one token is the end.  Repeated rows are repeated in the result
-and each counts.  Without training rows all counts are 0.
+"""Language-model scores: a probabilistic suffix tree over words beside smoothed word counts.
+
+The symbols are the contract's tokens: lower-cased words, one end mark for each text, and
+one symbol for all words that no training text has.  A context is the last one to `depth`
+words; it is a state of the tree if its next-symbol distribution diverges from that of its
+longest proper suffix by `diverge` nats in all, over the next symbols that were seen at
+least `least` times there.  A state's distribution is smoothed with its suffix's: `discount`
+is taken off each such count, and what that and the rarer next symbols leave goes to the
+suffix.  The root is the word counts' own distribution, so a text without states scores as
+these do.  A token is scored by the longest suffix of what precedes it that is a state.
+
+So the logarithm of a text's probability is that of the word counts, plus a value for each
+occurrence of a state and of a known (state, next symbol): it is a sum over the text's
+n-grams, and neither counts nor states ever are in one place.
+
+Texts are encoded once, in slices: a dictionary of word hashes and numbers into it, in a
+table that is bucketed by slice.  A slice sends each of its distinct n-grams once to the
+bucket that counts it, as packed arrays, and gets the counts back.  The first slice that has
+a frequent n-gram tells Spark about it; Spark derives states and values from those rows by
+joins and aggregations, and the buckets send the values to the slices.  Buckets are sized by
+the number of tokens.  All thresholds are absolute counts, so there are more states the more
+texts there are.
+
+Words are told apart by 64-bit hashes, longer n-grams by as many bits as make a clash less
+likely than 2 ** -16 for each.  A null text is empty: its one token is the end.  Repeated
+rows are repeated in the result and each counts.  Without training rows all counts are 0
+and every text scores 0.
 """
 
 from __future__ import annotations
 
-import os
+import struct
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, fold, mix, partitions, slices, span_hashes, stored, text_buffers, word_spans
+from .common import LOWER, fold, mix, new_path, partitions, slices, span_hashes, stored, text_buffers, word_spans
 
-#: The longest context, in bytes.
-DEPTH = 6
-#: A context's least share of the training bytes, and its least count.
-SHARE = 2e-6
+#: The longest context, in words.
+DEPTH = 2
+#: Least count of an n-gram that the tree knows.
 LEAST = 4
-#: Least divergence from the suffix: nats in all, over the context's occurrences.
+#: Least divergence of a state from its suffix: nats in all, over the context's occurrences.
 DIVERGE = 6.0
-MARK, GAP = 10, 32
-#: Bytes of text that a task counts, or scores, at once.
-COUNTED_BYTES, SCORED_BYTES = 2 << 20, 1 << 20
-LOG10 = np.log(10.0)
-
-
-def chained(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words (start, end, row) in lower case data; the rows' bytes as the tree sees them, and their offsets."""
-    rows = len(offsets) - 1
-    low = LOWER[data]
-    starts, ends, row = word_spans(low, offsets)
-    lengths = ends - starts
-    count = np.bincount(row, minlength=rows)
-    size = np.maximum(np.bincount(row, lengths + 1, rows).astype(np.int64), 1)
-    edges = np.r_[0, np.cumsum(size)]
-    out = np.full(edges[-1], GAP, np.uint8)
-    out[edges[1:] - 1] = MARK
-    if len(starts):
-        begin = np.cumsum(lengths + 1) - lengths - 1  # as if no row were empty
-        empty = np.cumsum(count == 0)
-        begin = begin + empty[row]  # an empty row is one byte
-        inside = np.flatnonzero(~SPACE[low])
-        out[np.repeat(begin - starts, lengths) + inside] = low[inside]
-    return low, starts, ends, row, out, edges
-
-
-def grams(text: np.ndarray, edges: np.ndarray, depth: int) -> np.ndarray:
-    """For each byte the code of the depth bytes before it, in its row, and of the byte; marks stand before a row."""
-    n = len(text)
-    code = text.astype(np.uint64)
-    place = np.arange(n, dtype=np.int32) - np.repeat(edges[:-1].astype(np.int32), np.diff(edges))
-    for k in range(1, depth + 1):
-        prior = np.full(n, MARK, np.uint8)
-        prior[k:] = text[:-k] if k < n else prior[k:]
-        prior[place < k] = MARK
-        wide = prior.astype(np.uint64)
-        wide <<= np.uint64(8 * k)
-        code |= wide
-    return code
+#: What is taken off each count.
+DISCOUNT = 0.5
+#: Bytes of text in a slice; tokens for each bucket.
+SLICE, SHARE = 4 << 20, 3_000_000
+END = np.uint64(0x5851F42D4C957F2D)
+OWNER = np.uint32(1 << 31)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """The values' first bytes, then their second bytes, and so on: of sorted numbers this compresses well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+def squeezed(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second bytes, and so on, compressed."""
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    return struct.pack("<q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unplaned(raw: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+def restored(raw: bytes, kind: str) -> np.ndarray:
+    n = struct.unpack_from("<q", raw)[0]
+    flat = np.frombuffer(pa.decompress(memoryview(raw)[8:], n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def counted(docs: DataFrame, learn: Column, depth: int, buckets: int) -> DataFrame:
-    """One pass over the texts. kind 0: a slice's documents; 1: its words for a bucket; 2: n-gram counts of a task."""
-    schema = "kind int, slice string, bucket int, a binary, b binary, c binary, doc array<struct<doc_id:string,th:long,n_tokens:long,n_words:int>>"
-    docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("th"), learn.alias("learn"))
-    kinds = [("kind", pa.int32()), ("slice", pa.string()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("doc", pa.list_(pa.struct([("doc_id", pa.string()), ("th", pa.int64()), ("n_tokens", pa.int64()), ("n_words", pa.int32())])))]
+def steps(rising: np.ndarray) -> bytes:
+    """Like squeezed(), of numbers that rise."""
+    return squeezed(np.diff(rising, prepend=rising.dtype.type(0)).astype(rising.dtype))
 
-    def batch(rows: int, /, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(rows, t) for k, t in kinds], [k for k, _ in kinds])
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        name = f"{task.partitionId()}-{task.taskAttemptId()}-{os.urandom(4).hex()}"
-        codes, often, waiting = [], [], 0
-        for number, b in enumerate(slices(batches, most=COUNTED_BYTES)):
-            rows = b.num_rows
-            train = b.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            low, starts, ends, row, text, edges = chained(*text_buffers(b.column("text")))
-            hashes = span_hashes(low, starts, ends)
-            own, back = np.unique(hashes, return_inverse=True)
-            seen = np.bincount(back[train[row]], minlength=len(own))
-            pair, times = np.unique(row * max(len(own), 1) + back, return_counts=True)
-            of, word = pair // max(len(own), 1), pair % max(len(own), 1)
-            words = np.bincount(row, minlength=rows)
-            distinct = np.bincount(of, minlength=rows)
-            part = ((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # rises with the hash
-            edge = np.searchsorted(part, np.arange(buckets + 1))
-            used = np.flatnonzero(np.diff(edge))
-            yield batch(len(used), kind=[1] * len(used), slice=[f"{name}-{number}"] * len(used), bucket=used, a=[planes(own[edge[k] : edge[k + 1]]) for k in used], b=[planes(seen[edge[k] : edge[k + 1]].astype("<u4")) for k in used])
-            about = [{"doc_id": d, "th": h, "n_tokens": int(w) + 1, "n_words": int(k)} for d, h, w, k in zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), words, distinct, strict=True)]
-            step = word.copy()  # a row's words rise, so that their differences are small
-            step[1:] -= np.where(of[1:] == of[:-1], word[:-1], 0)
-            yield batch(1, kind=[0], slice=[f"{name}-{number}"], a=[planes(step.astype("<u4"))], b=[planes(times.astype("<u4"))], c=[np.array([train.sum(), words[train].sum()], "<i8").tobytes()], doc=[about])
-            if train.any():
-                code, n = np.unique(grams(text, edges, depth)[np.repeat(train, np.diff(edges))], return_counts=True)
-                codes.append(code)
-                often.append(n.astype(np.uint32))
-                waiting += len(code)
-                if waiting > 1_500_000:
-                    codes, often = merged(codes, often)
-                    waiting = len(codes[0])
-                    if waiting > 750_000:
-                        yield from spelled(codes, often)
-                        codes, often, waiting = [], [], 0
-        if codes:
-            yield from spelled(*merged(codes, often))
-
-    def merged(codes: list, often: list) -> tuple[list, list]:
-        code = np.concatenate(codes)
-        order = np.argsort(code)
-        code = code[order]
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-        return [code[first]], [np.add.reduceat(np.concatenate(often)[order], first)]
-
-    def spelled(codes: list, often: list) -> Iterator[pa.RecordBatch]:
-        code, n = codes[0], often[0]
-        # n-grams that begin alike stay together, so that sorted ones have small differences
-        part = ((mix(code >> np.uint64(24)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        edge = np.searchsorted(part[order], np.arange(buckets + 1))
-        parts = [order[i:j] for i, j in zip(edge, edge[1:]) if j > i]
-        yield batch(len(parts), kind=[2] * len(parts), bucket=np.flatnonzero(np.diff(edge)), a=[planes(code[p].astype("<u8")) for p in parts], b=[planes(n[p].astype("<u4")) for p in parts])
-
-    return docs.mapInArrow(make, schema)
-
-
-def summed(table: DataFrame, buckets: int) -> DataFrame:
-    """(gram, n): the n-grams' counts over all tasks."""
-
-    def add(group: pa.Table) -> pa.Table:
-        code = np.concatenate([unplaned(x, "<u8") for x in group.column("a").to_pylist()])
-        often = np.concatenate([unplaned(x, "<u4") for x in group.column("b").to_pylist()])
-        order = np.argsort(code)
-        code = code[order]
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-        return pa.table({"gram": code[first].view(np.int64), "n": np.add.reduceat(often[order], first, dtype=np.int64)})
-
-    return table.select("bucket", "a", "b").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, "gram long, n long")
-
-
-def answers(requests: DataFrame, buckets: int) -> DataFrame:
-    """For each slice and bucket the words' counts in all training texts; with every bucket its distinct words."""
+def summed(raw: bytes) -> np.ndarray:
+    return np.cumsum(restored(raw, "<u8"), dtype=np.uint64)
 
-    def answer(table: pa.Table) -> pa.Table:
-        hashes = [unplaned(x, "<u8") for x in table.column("a").to_pylist()]
-        seen = [unplaned(x, "<u4") for x in table.column("b").to_pylist()]
-        _, back = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.bincount(back, np.concatenate(seen))
-        reply = np.split(total[back].astype("<u4"), np.cumsum([len(h) for h in hashes])[:-1])
-        known = [int((total > 0).sum()), *[0] * (len(hashes) - 1)]
-        return pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "reply": pa.array([planes(r) for r in reply], pa.binary()), "distinct": pa.array(known, pa.int64())})
-
-    return requests.select("slice", "bucket", "a", "b").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice string, bucket int, reply binary, distinct long")
-
-
-def word_scores(table: DataFrame, buckets: int) -> DataFrame:
-    """(key, th, n_tokens, n_known, train_tokens, base_score) for each document."""
-    replies = stored(answers(table.filter("kind = 1"), buckets))
-    documents = table.filter("kind = 0")
-    trained = documents.select(F.expr("c")).mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(x, "<i8")[k]) for x in b.column("c").to_pylist()], pa.int64()) for k in (0, 1)], ["texts", "words"]) for b in it), "texts long, words long")
-    texts, words = (int(x or 0) for x in trained.agg(F.sum("texts"), F.sum("words")).first())
-    distinct = int(replies.agg(F.sum("distinct")).first()[0] or 0) + (texts > 0)
-    total = texts + words
-    whole = np.log10(total + distinct + 1)
-    ended = np.log10(texts + 1) - whole
-
-    def add(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket").to_pylist()
-        order = sorted((k for k in range(len(bucket)) if bucket[k] is not None), key=lambda k: bucket[k])
-        reply = group.column("reply").to_pylist()
-        counts = np.concatenate([np.zeros(0, "<u4"), *(unplaned(reply[k], "<u4") for k in order)])
-        here = bucket.index(None)
-        doc = group.column("doc")[here].as_py()
-        step, times = (unplaned(group.column(c)[here].as_py(), "<u4") for c in ("a", "b"))
-        words = np.array([d["n_words"] for d in doc], np.int64)
-        row = np.repeat(np.arange(len(doc)), words)
-        word = np.cumsum(step, dtype=np.int64)
-        word -= np.repeat(np.r_[0, word][np.cumsum(words) - words], words)
-        c = counts[word].astype(float)
-        base = np.bincount(row, times * (np.log10(c + 1) - whole), len(doc)) + ended
-        known = np.bincount(row, times * (c > 0), len(doc)).astype(np.int64) + (texts > 0)
-        return pa.table({"key": pa.array([d["doc_id"] for d in doc], pa.string()), "th": pa.array([d["th"] for d in doc], pa.int64()), "n_tokens": pa.array([d["n_tokens"] for d in doc], pa.int64()), "n_known": known, "base_score": base})
-
-    both = documents.select("slice", F.lit(None).cast("int").alias("bucket"), "a", "b", "doc", F.lit(None).cast("binary").alias("reply")).unionByName(replies.select("slice", "bucket", F.lit(None).cast("binary").alias("a"), F.lit(None).cast("binary").alias("b"), F.lit(None).cast(table.schema["doc"].dataType).alias("doc"), "reply"))
-    return both.groupBy("slice").applyInArrow(add, "key string, th long, n_tokens long, n_known long, base_score double").withColumn("train_tokens", F.lit(total).cast("long"))
-
-
-def tree(grams: DataFrame, depth: int, share: float = SHARE, least: int = LEAST, diverge: float = DIVERGE) -> list[tuple[np.ndarray, ...]]:
-    """For each depth its states: context codes, counts and numbers of next bytes; and (context, byte) codes with counts.
-
-    grams: (gram, n). A context's code holds its bytes, the latest lowest.
+
+def encoded(docs: DataFrame, learn: Column) -> DataFrame:
+    """A row for each slice: its documents, whether they are learned from, their sizes with the end, a dictionary and numbers into it.
+
+    The table is bucketed by slice, so that joining it by slice doesn't move it.
     """
-    level = stored(grams.groupBy(F.shiftright("gram", 8).alias("ctx"), F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("sym")).agg(F.sum("n").alias("n")))
-    size = int(level.agg(F.sum("n")).first()[0] or 0)
-    floor = max(least, share * size)
-    levels: list = [None] * (depth + 1)
-    for k in range(depth, -1, -1):
-        if k < depth:
-            level = stored(level.groupBy(F.col("ctx").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("ctx"), "sym").agg(F.sum("n").alias("n")))
-        whole = Window.partitionBy("ctx")  # 256 rows at most
-        levels[k] = level.select("*", F.sum("n").over(whole).alias("total"), F.count("*").over(whole).alias("kinds"))
-        levels[k] = stored(levels[k].filter(F.col("total") >= floor)) if k else levels[k]
-    out = []
-    for k in range(depth + 1):
-        own = levels[k]
-        if k:
-            parent = levels[k - 1].select(F.col("ctx").alias("up"), "sym", (F.col("n") / F.col("total")).alias("q"))
-            gain = own.join(parent, (F.col("ctx").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)) == parent.up) & (own.sym == parent.sym)).groupBy("ctx").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("gain"))
-            own = own.join(gain.filter(F.col("gain") >= diverge).select("ctx"), "ctx", "left_semi")
-        got = own.select("ctx", "sym", "n", "total", "kinds").toArrow().to_pandas().sort_values(["ctx", "sym"])
-        ctx = got["ctx"].to_numpy(np.int64).view(np.uint64)
-        new = np.r_[True, ctx[1:] != ctx[:-1]][: len(ctx)]
-        out.append((ctx[new], got["total"].to_numpy(np.float32)[new], got["kinds"].to_numpy(np.float32)[new], ctx << np.uint64(8) | got["sym"].to_numpy(np.uint64), got["n"].to_numpy(np.float32)))
-    return out
+    kind = docs.schema["doc_id"].dataType
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for number, b in enumerate(slices(batches, most=SLICE)):
+            data, offsets = text_buffers(b.column("text"))
+            low = LOWER[data]
+            starts, ends, row = word_spans(low, offsets)
+            count = np.bincount(row, minlength=b.num_rows) + 1
+            close = np.cumsum(count) - 1
+            tokens = np.full(int(count.sum()), END, np.uint64)
+            inside = np.ones(len(tokens), bool)
+            inside[close] = False
+            tokens[inside] = span_hashes(low, starts, ends)
+            words, ids = np.unique(tokens, return_inverse=True)
+            train = b.column("learn").to_numpy(zero_copy_only=False).astype(np.uint8)
+            blobs = (squeezed(train), squeezed(count.astype("<u4")), steps(words), squeezed(ids.astype("<u4")))
+            doc = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column("doc_id"))
+            yield pa.RecordBatch.from_arrays([pa.array([task << 32 | number], pa.int64()), doc, *(pa.array([x], pa.binary()) for x in blobs), pa.array([len(tokens)], pa.int64()), pa.array([int((train * count).sum())], pa.int64())], ["slice", "doc", "train", "size", "words", "ids", "tokens", "learned"])
+
+    spark = docs.sparkSession
+    made = docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(make, f"slice long, doc array<{kind.simpleString()}>, train binary, size binary, words binary, ids binary, tokens long, learned long")
+    name = f"sievework_{uuid.uuid4().hex}"
+    made.write.bucketBy(partitions(spark), "slice").options(path=new_path(spark), compression="none").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def row_of(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of the one row: training marks and sizes of the documents, the dictionary, each token's number in it and document."""
+    train, size = restored(table.column("train")[0].as_py(), "u1").astype(bool), restored(table.column("size")[0].as_py(), "<u4").astype(np.int64)
+    ids = restored(table.column("ids")[0].as_py(), "<u4").astype(np.int64)
+    return train, size, summed(table.column("words")[0].as_py()), ids, np.repeat(np.arange(len(size)), size)
+
+
+def codes(words: np.ndarray, ids: np.ndarray, size: np.ndarray, depth: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length 2 to depth + 1: the n-grams that lie in one document, as (place of the last token, code).
+
+    The code of an n-gram is made of its first token and the code of the rest; it has its
+    bits at the upper end, so that cutting it short keeps the order.
+    """
+    token = words[ids]
+    place = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
+    out, code = [], token
+    for k in range(1, depth + 1):
+        first = np.r_[np.zeros(min(k, len(token)), np.uint64), token[:-k]]
+        code = mix(first * np.uint64(0x9E3779B97F4A7C15) + code + np.uint64(k))
+        at = np.flatnonzero(place >= k)
+        out.append((at, code[at] >> np.uint64(64 - bits)))
+    return out
 
-def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-    return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
+def dealt(code: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Where each bucket's part of the rising codes begins, and the end."""
+    top = code >> np.uint64(bits - 32)
+    return np.searchsorted((top * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
 
-class Scorer:
-    """log10 probability of n-gram codes; what was looked up is remembered in a table of fixed size."""
 
-    slots = 1 << 21
+def distinct_codes(found: list[tuple[np.ndarray, np.ndarray]], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, and how often each occurs in training tokens."""
+    both = np.concatenate([code << np.uint64(1) | train[at].astype(np.uint64) for at, code in found])
+    both.sort()
+    code = both >> np.uint64(1)
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+    return code[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
 
-    def __init__(self, levels: list[tuple[np.ndarray, ...]]):
-        self.levels = levels
-        self.code = np.full(self.slots, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.value = np.zeros(self.slots, np.float32)
 
-    def look_up(self, code: np.ndarray) -> np.ndarray:
-        p = np.full(len(code), 1 / 256)
-        for k, (ctx, total, kinds, pair, n) in enumerate(self.levels):
-            if not len(ctx):
-                continue
-            keep = np.uint64((1 << (8 * (k + 1))) - 1)
-            at, has = found(ctx, (code & keep) >> np.uint64(8))
-            to, seen = found(pair, code & keep)
-            p = np.where(has, (np.where(seen, n[to], 0) + kinds[at] * p) / (total[at] + kinds[at]), p)
-        return np.log10(p)
-
-    def __call__(self, code: np.ndarray) -> np.ndarray:
-        slot = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(43)).astype(np.int64)
-        out = self.value[slot]
-        miss = np.flatnonzero(self.code[slot] != code)
-        if len(miss):
-            new, back = np.unique(code[miss], return_inverse=True)
-            value = self.look_up(new)
-            out[miss] = value[back]
-            to = (new * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(43)).astype(np.int64)
-            to, first = np.unique(to, return_index=True)
-            self.code[to], self.value[to] = new[first], value[first]
-        return out
-
-
-#: The scorer of the model that this worker used last.
-_scorers: dict[str, Scorer] = {}
-
-
-def tree_scores(docs: DataFrame, levels: list, depth: int) -> DataFrame:
-    """(doc_id, key, th, score) for each row of docs."""
-    model, name = docs.sparkSession.sparkContext.broadcast(levels), uuid.uuid4().hex
+def requests(slices_: DataFrame, depth: int, bits: int, buckets: int) -> DataFrame:
+    """(slice, bucket, w, wn, g, gn): a slice's distinct words and longer n-grams for a bucket, with their training counts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(model.value)
-        scorer = _scorers[name]
-        for b in slices(batches, most=SCORED_BYTES):
-            *_, text, edges = chained(*text_buffers(b.column("text")))
-            score = np.add.reduceat(scorer(grams(text, edges, depth)), edges[:-1], dtype=np.float64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(score)], ["doc_id", "th", "score"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(make, f"doc_id {kind}, th long, score double")
-
-
-def scored(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
-    """Word counts' and tree's scores for each row of docs; learn: which rows are learned from."""
-    buckets = partitions(docs.sparkSession)
-    table = stored(counted(docs, learn, depth, buckets), compression="zstd")
-    words = word_scores(table, buckets).dropDuplicates(["key", "th"])
-    levels = tree(summed(table.filter("kind = 2"), buckets), depth)
-    own = tree_scores(docs, levels, depth)
-    return own.join(words, F.col("doc_id").cast("string").eqNullSafe(F.col("key")) & own.th.eqNullSafe(words.th)).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        for b in batches:
+            for k in range(b.num_rows):
+                table = pa.Table.from_batches([b.slice(k, 1)])
+                train, size, words, ids, row = row_of(table)
+                learned = train[row]
+                often = np.bincount(ids[learned], minlength=len(words))
+                code, n = distinct_codes(codes(words, ids, size, depth, bits), learned)
+                w, g = dealt(words, 64, buckets), dealt(code, bits, buckets)
+                used = np.flatnonzero((np.diff(w) > 0) | (np.diff(g) > 0))
+                blobs = [[steps(words[w[i] : w[i + 1]]), squeezed(often[w[i] : w[i + 1]].astype("<u4")), steps(code[g[i] : g[i + 1]]), squeezed(n[g[i] : g[i + 1]].astype("<u4"))] for i in used]
+                yield pa.RecordBatch.from_arrays([pa.array([table.column("slice")[0].as_py()] * len(used), pa.int64()), pa.array(used.astype(np.int32)), *(pa.array([x[c] for x in blobs], pa.binary()) for c in range(4))], ["slice", "bucket", "w", "wn", "g", "gn"])
+
+    return slices_.select("slice", "train", "size", "words", "ids").mapInArrow(make, "slice long, bucket int, w binary, wn binary, g binary, gn binary")
+
+
+def answers(asked: DataFrame, least: int, buckets: int) -> DataFrame:
+    """For each slice and bucket the counts in all training texts; of n-grams only those of `least` or more, marked for one slice that has it."""
+
+    def total(codes_: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        _, first, back = np.unique(np.concatenate(codes_), return_index=True, return_inverse=True)
+        return np.bincount(back, np.concatenate(counts), len(first)).astype(np.int64), first, back
+
+    def answer(table: pa.Table) -> pa.Table:
+        take = lambda c, f: [f(x) for x in table.column(c).to_pylist()]
+        words = take("w", summed)
+        ends = np.cumsum([len(x) for x in words])[:-1]
+        n, _, back = total(words, take("wn", lambda x: restored(x, "<u4")))
+        known = int((n > 0).sum())
+        replies = np.split(n[back].astype("<u4"), ends)
+        grams = take("g", summed)
+        ends = np.cumsum([len(x) for x in grams])[:-1]
+        n, first, back = total(grams, take("gn", lambda x: restored(x, "<u4")))
+        n[n < least] = 0
+        out = n[back].astype("<u4")
+        out[first[n > 0]] |= OWNER
+        return pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "w": pa.array([squeezed(x) for x in replies], pa.binary()), "g": pa.array([squeezed(x) for x in np.split(out, ends)], pa.binary()), "distinct": pa.array([known, *[0] * (table.num_rows - 1)], pa.int64())})
+
+    return asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice long, bucket int, w binary, g binary, distinct long")
+
+
+MODEL = "k int, ctx long, gram long, rest long, n long, total long, p double"
+KINDS = [(c, t) for c, t in (("kind", pa.int32()), ("slice", pa.int64()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("k", pa.int32()), ("ctx", pa.int64()), ("gram", pa.int64()), ("rest", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("p", pa.float64()))]
+
+
+def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, buckets: int, least: int, tokens: int, distinct: int) -> DataFrame:
+    """kind 0: a slice's base scores and known tokens; 1: words and n-grams of a slice that may have a value, for a bucket; 2: n-grams as MODEL."""
+    whole = np.log10(tokens + distinct + 1)
+
+    def make(own: pa.Table, got: pa.Table) -> pa.Table:
+        def part(rows: int, **columns) -> pa.Table:
+            return pa.table([pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in KINDS], [c for c, _ in KINDS])
+
+        _, size, words, ids, row = row_of(own)
+        name = own.column("slice")[0].as_py()
+        order = np.argsort(got.column("bucket").to_numpy())
+        w, g = got.column("w").to_pylist(), got.column("g").to_pylist()
+        c = np.concatenate([restored(w[i], "<u4") for i in order]).astype(np.int64)
+        marks = np.concatenate([np.zeros(0, "<u4"), *(restored(g[i], "<u4") for i in order)])
+        found = codes(words, ids, size, depth, bits)
+        code, _ = distinct_codes(found, np.zeros(len(ids), bool))
+        n = (marks & ~OWNER).astype(np.int64)
+        base = np.bincount(row, (np.log10(c + 1) - whole)[ids], len(size))
+        known = np.bincount(row, (c > 0)[ids], len(size)).astype(np.int64)
+        out = [part(1, kind=[0], slice=[name], a=[squeezed(base)], b=[squeezed(known)])]
+        often, frequent = words[(c >= least) & (words != END)], code[n > 0]
+        at_w, at_g = dealt(often, 64, buckets), dealt(frequent, bits, buckets)
+        used = np.flatnonzero((np.diff(at_w) > 0) | (np.diff(at_g) > 0))
+        out.append(part(len(used), kind=[1] * len(used), slice=[name] * len(used), bucket=used, a=[steps(often[at_w[i] : at_w[i + 1]]) for i in used], b=[steps(frequent[at_g[i] : at_g[i + 1]]) for i in used]))
+        place = np.zeros(len(ids), np.int64)  # of the n-gram one shorter that ends here, in `code`
+        for k, (at, own_code) in enumerate(found, 1):
+            before = place
+            place = np.zeros(len(ids), np.int64)
+            place[at] = np.searchsorted(code, own_code)
+            mine = at[(marks[place[at]] & OWNER) > 0]
+            _, once = np.unique(place[mine], return_index=True)
+            mine = mine[once]
+            it, prior = place[mine], mine - 1
+            columns = {"gram": code[it], "n": n[it], "p": (c[ids[mine]] + 1) / (tokens + distinct + 1)}
+            if k == 1:
+                columns |= {"ctx": words[ids[prior]], "rest": np.zeros(len(mine), np.uint64), "total": c[ids[prior]]}
+            else:
+                columns |= {"ctx": code[before[prior]], "rest": code[before[mine]], "total": n[before[prior]]}
+            out.append(part(len(mine), kind=[2] * len(mine), k=[k] * len(mine), **{x: v.view(np.int64) if v.dtype == np.uint64 else v for x, v in columns.items()}))
+        return pa.concat_tables(out)
+
+    schema = ", ".join(f"{c} {'int' if t == pa.int32() else 'long' if t == pa.int64() else 'double' if t == pa.float64() else 'binary'}" for c, t in KINDS)
+    return slices_.select("slice", "train", "size", "words", "ids").groupBy("slice").cogroup(replies.select("slice", "bucket", "w", "g").groupBy("slice")).applyInArrow(make, schema)
+
+
+def states(model: DataFrame, depth: int = DEPTH, diverge: float = DIVERGE, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
+    """The tree's states (k, ctx, total, share) and the n-grams' (k, gram, ctx, p, gain).
+
+    share: the part of a state's distribution that its suffix gives; p: the smoothed
+    probability of the n-gram's last symbol after its first k; gain: log10 of p over what
+    the suffix's part alone would be, null where the context is no state.
+    """
+    all_states = grams = None
+    for k in range(1, depth + 1):
+        own = model.filter(F.col("k") == k)
+        if grams is None:
+            own = own.withColumn("before", F.col("p"))
+        else:
+            shorter = level.select(F.col("gram").alias("rest"), F.col("p").alias("before"))
+            own = own.drop("before").join(shorter, "rest")
+        found = own.groupBy("ctx").agg(F.max("total").alias("whole"), F.sum("n").alias("kept"), F.count("*").alias("kinds"), F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))).alias("diverges"))
+        found = stored(found.filter(F.col("diverges") >= diverge).select("ctx", F.col("whole").alias("total"), ((F.greatest(F.col("whole") - F.col("kept"), F.lit(0)) + discount * F.col("kinds")) / F.col("whole")).alias("share")))
+        level = own.select("gram", "ctx", "n", "before").join(found, "ctx", "left")
+        lower = F.col("share") * F.col("before")
+        level = stored(level.select("gram", "ctx", F.coalesce((F.col("n") - discount) / F.col("total") + lower, F.col("before")).alias("p"), F.log10(1 + (F.col("n") - discount) / F.col("total") / lower).alias("gain")))
+        own_states, own_grams = found.select(F.lit(k).alias("k"), "*"), level.select(F.lit(k).alias("k"), "*")
+        all_states = own_states if all_states is None else all_states.unionByName(own_states)
+        grams = own_grams if grams is None else grams.unionByName(own_grams)
+    return all_states, grams
+
+
+def values(found: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(word, code, value): what each occurrence of a word, or of a longer n-gram, adds to a text's score."""
+    own, grams = found
+    one = own.select((F.col("k") == 1).alias("word"), F.col("ctx").alias("code"), F.log10("share").alias("value"))
+    two = grams.filter("gain is not null").select(F.lit(False).alias("word"), F.col("gram").alias("code"), F.col("gain").alias("value"))
+    return one.unionByName(two).groupBy("word", "code").agg(F.sum("value").alias("value"))
+
+
+def valued(asked: DataFrame, table: DataFrame, bits: int, buckets: int) -> DataFrame:
+    """(slice, wc, wv, gc, gv): the words and n-grams of each slice that have a value, by bucket."""
+
+    def answer(rows: pa.Table, model: pa.Table) -> pa.Table:
+        is_word = model.column("word").to_numpy(zero_copy_only=False).astype(bool)
+        code, value = model.column("code").to_numpy().view(np.uint64), model.column("value").to_numpy()
+        held = []
+        for mask in (is_word, ~is_word):
+            order = np.argsort(code[mask])
+            held.append((code[mask][order], value[mask][order].astype("<f4")))
+        out: dict = {"slice": rows.column("slice"), "wc": [], "wv": [], "gc": [], "gv": []}
+        for side, c, (known, worth) in (("w", "a", held[0]), ("g", "b", held[1])):
+            for raw in rows.column(c).to_pylist():
+                own = summed(raw)
+                at = np.searchsorted(known, own)
+                at[at == len(known)] = 0
+                hit = (known[at] == own) if len(known) else np.zeros(len(own), bool)
+                out[side + "c"].append(steps(own[hit]))
+                out[side + "v"].append(squeezed(worth[at[hit]] if len(known) else worth[:0]))
+        return pa.table({k: v if k == "slice" else pa.array(v, pa.binary()) for k, v in out.items()})
+
+    top = F.when(F.col("word"), F.shiftrightunsigned("code", 32)).otherwise(F.shiftrightunsigned("code", bits - 32)).bitwiseAND(F.lit(0xFFFFFFFF))
+    table = table.withColumn("bucket", F.shiftright(top * F.lit(buckets), 32).cast("int"))
+    left = asked.select("bucket", "slice", "a", "b").repartition(buckets, "bucket").groupBy("bucket")
+    return left.cogroup(table.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(answer, "slice long, wc binary, wv binary, gc binary, gv binary")
+
+
+def totals(slices_: DataFrame, replies: DataFrame, base: DataFrame, depth: int, bits: int, tokens: int, kind: str) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each document."""
+
+    def make(own: pa.Table, got: pa.Table) -> pa.Table:
+        _, size, words, ids, row = row_of(own)
+        plain = got.column("base").to_pylist()
+        here = next(i for i, x in enumerate(plain) if x is not None)
+        score = restored(plain[here], "<f8").copy()
+        known = restored(got.column("known")[here].as_py(), "<i8")
+        base_score = score.copy()
+        for c, v, found in (("wc", "wv", None), ("gc", "gv", codes(words, ids, size, depth, bits))):
+            parts = [(summed(x), restored(y, "<f4")) for x, y in zip(got.column(c).to_pylist(), got.column(v).to_pylist(), strict=True) if x is not None]
+            code = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in parts)])
+            if not len(code):
+                continue
+            order = np.argsort(code)
+            code, worth = code[order], np.concatenate([y for _, y in parts])[order].astype(float)
+            for at, wanted in [(np.arange(len(ids)), words[ids])] if found is None else found:
+                to = np.searchsorted(code, wanted)
+                to[to == len(code)] = 0
+                hit = code[to] == wanted
+                score += np.bincount(row[at[hit]], worth[to[hit]], len(size))
+        doc = own.column("doc").combine_chunks()
+        return pa.table({"doc_id": doc.flatten(), "n_tokens": size, "n_known": known, "train_tokens": np.full(len(size), tokens), "base_score": base_score, "score": score})
+
+    both = replies.unionByName(base.select("slice", F.col("a").alias("base"), F.col("b").alias("known")), allowMissingColumns=True)
+    return slices_.select("slice", "doc", "train", "size", "words", "ids").groupBy("slice").cogroup(both.groupBy("slice")).applyInArrow(make, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def fitted(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST) -> tuple:
+    """The encoded slices; what the buckets said about them (see resolved()); bits, buckets and training tokens."""
+    texts = encoded(docs, learn)
+    size, tokens = (int(x or 0) for x in texts.agg(F.sum("tokens"), F.sum("learned")).first())
+    buckets = max(partitions(docs.sparkSession), -(-size // SHARE))
+    bits = min(63, max(40, (size * depth).bit_length() + 16))
+    replies = stored(answers(requests(texts, depth, bits, buckets), least, buckets))
+    distinct = int(replies.agg(F.sum("distinct")).first()[0] or 0)
+    return texts, stored(resolved(texts, replies, depth, bits, buckets, least, tokens, distinct)), bits, buckets, tokens
+
+
+def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST, diverge: float = DIVERGE) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; learn: which rows are learned from."""
+    texts, found, bits, buckets, tokens = fitted(docs, learn, depth, least)
+    worth = values(states(found.filter("kind = 2"), depth, diverge))
+    replies = valued(found.filter("kind = 1"), worth, bits, buckets)
+    return totals(texts, replies, found.filter("kind = 0"), depth, bits, tokens, docs.schema["doc_id"].dataType.simpleString())
 
 
 def held_out() -> Column:
