@@ -233,7 +233,9 @@ def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, buck
                 columns |= {"ctx": words[ids[prior]], "rest": np.zeros(len(mine), np.uint64), "total": c[ids[prior]]}
             else:
                 columns |= {"ctx": code[before[prior]], "rest": code[before[mine]], "total": n[before[prior]]}
-            out.append(part(len(mine), kind=[2] * len(mine), k=[k] * len(mine), **{x: v.view(np.int64) if v.dtype == np.uint64 else v for x, v in columns.items()}))
+            sound = columns["total"] >= columns["n"]  # else rarer n-grams clash, and their context is as rare
+            columns = {x: (v.view(np.int64) if v.dtype == np.uint64 else v)[sound] for x, v in columns.items()}
+            out.append(part(int(sound.sum()), kind=[2] * int(sound.sum()), k=[k] * int(sound.sum()), **columns))
         return pa.concat_tables(out)
 
     schema = ", ".join(f"{c} {'int' if t == pa.int32() else 'long' if t == pa.int64() else 'double' if t == pa.float64() else 'binary'}" for c, t in KINDS)
