@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -77,10 +79,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, **options: str) -> DataFrame:
-    """Like cut(), as a Parquet table: smaller, and its columns can be read one by one."""
-    path = new_path(df.sparkSession)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Like cut(), as a Parquet table: smaller, and its columns can be read one by one.
+
+    The shuffle files that it took go as soon as it is written.
+    """
+    spark = df.sparkSession
+    path, before = new_path(spark), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

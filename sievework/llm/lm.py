@@ -17,7 +17,8 @@ Texts are encoded once, in slices: a dictionary of word hashes and numbers into
 table that is bucketed by slice.  A slice sends each of its distinct n-grams once to the
 bucket that counts it, as packed arrays, and gets the counts back.  The first slice that has
 a frequent n-gram tells Spark about it; Spark derives states and values from those rows by
-joins and aggregations, and the buckets send the values to the slices.  Buckets are sized by
+joins and aggregations, and the slices ask the buckets for the values of those n-grams that
+a filter of bounded size lets through.  Buckets are sized by
 the number of tokens.  All thresholds are absolute counts, so there are more states the more
 texts there are.
 
@@ -50,7 +51,9 @@ DIVERGE = 6.0
 #: What is taken off each count.
 DISCOUNT = 0.5
 #: Bytes of text in a slice; tokens for each bucket.
-SLICE, SHARE = 4 << 20, 3_000_000
+SLICE, SHARE = 4 << 20, 1_000_000
+#: The filter of n-grams that have a value has 2 ** FILTER bits at most; beyond that it lets more through.
+FILTER = 26
 END = np.uint64(0x5851F42D4C957F2D)
 OWNER = np.uint32(1 << 31)
 
@@ -191,12 +194,15 @@ def answers(asked: DataFrame, least: int, buckets: int) -> DataFrame:
     return asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice long, bucket int, w binary, g binary, distinct long")
 
 
-MODEL = "k int, ctx long, gram long, rest long, n long, total long, p double"
-KINDS = [(c, t) for c, t in (("kind", pa.int32()), ("slice", pa.int64()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("k", pa.int32()), ("ctx", pa.int64()), ("gram", pa.int64()), ("rest", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("p", pa.float64()))]
+KINDS = [(c, t) for c, t in (("kind", pa.int32()), ("slice", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("k", pa.int32()), ("ctx", pa.int64()), ("gram", pa.int64()), ("rest", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("p", pa.float64()))]
 
 
-def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, buckets: int, least: int, tokens: int, distinct: int) -> DataFrame:
-    """kind 0: a slice's base scores and known tokens; 1: words and n-grams of a slice that may have a value, for a bucket; 2: n-grams as MODEL."""
+def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, tokens: int, distinct: int) -> DataFrame:
+    """kind 0: a slice's base scores and known tokens; 1: n-grams of `least` or more, each once.
+
+    ctx: the context's code; rest: that of the n-gram without its first word; total: the
+    context's count; p: the last word's probability by the word counts.
+    """
     whole = np.log10(tokens + distinct + 1)
 
     def make(own: pa.Table, got: pa.Table) -> pa.Table:
@@ -215,10 +221,6 @@ def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, buck
         base = np.bincount(row, (np.log10(c + 1) - whole)[ids], len(size))
         known = np.bincount(row, (c > 0)[ids], len(size)).astype(np.int64)
         out = [part(1, kind=[0], slice=[name], a=[squeezed(base)], b=[squeezed(known)])]
-        often, frequent = words[(c >= least) & (words != END)], code[n > 0]
-        at_w, at_g = dealt(often, 64, buckets), dealt(frequent, bits, buckets)
-        used = np.flatnonzero((np.diff(at_w) > 0) | (np.diff(at_g) > 0))
-        out.append(part(len(used), kind=[1] * len(used), slice=[name] * len(used), bucket=used, a=[steps(often[at_w[i] : at_w[i + 1]]) for i in used], b=[steps(frequent[at_g[i] : at_g[i + 1]]) for i in used]))
         place = np.zeros(len(ids), np.int64)  # of the n-gram one shorter that ends here, in `code`
         for k, (at, own_code) in enumerate(found, 1):
             before = place
@@ -235,7 +237,7 @@ def resolved(slices_: DataFrame, replies: DataFrame, depth: int, bits: int, buck
                 columns |= {"ctx": code[before[prior]], "rest": code[before[mine]], "total": n[before[prior]]}
             sound = columns["total"] >= columns["n"]  # else rarer n-grams clash, and their context is as rare
             columns = {x: (v.view(np.int64) if v.dtype == np.uint64 else v)[sound] for x, v in columns.items()}
-            out.append(part(int(sound.sum()), kind=[2] * int(sound.sum()), k=[k] * int(sound.sum()), **columns))
+            out.append(part(int(sound.sum()), kind=[1] * int(sound.sum()), k=[k] * int(sound.sum()), **columns))
         return pa.concat_tables(out)
 
     schema = ", ".join(f"{c} {'int' if t == pa.int32() else 'long' if t == pa.int64() else 'double' if t == pa.float64() else 'binary'}" for c, t in KINDS)
@@ -276,54 +278,82 @@ def values(found: tuple[DataFrame, DataFrame]) -> DataFrame:
     return one.unionByName(two).groupBy("word", "code").agg(F.sum("value").alias("value"))
 
 
+def sieve(table: DataFrame) -> np.ndarray:
+    """A bit for each of the lowest bits of the codes in table; FILTER bits at most."""
+    size = 1 << min(FILTER, max(10, (16 * table.count()).bit_length()))
+    low = F.col("code").bitwiseAND(F.lit(size - 1))
+    words = table.groupBy(F.shiftright(low, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((code & {size - 1}) & 31 as int))")).alias("bits")).toArrow()  # 2 ** FILTER / 32 rows at most
+    out = np.zeros(size // 32, np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def passing(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
+    low = (code & np.uint64(32 * len(bits) - 1)).astype(np.int64)
+    return code[(bits[low >> 5] >> (low & 31).astype(np.uint32) & np.uint32(1)).astype(bool)]
+
+
+def wanted(slices_: DataFrame, held, depth: int, bits: int, buckets: int) -> DataFrame:
+    """(slice, bucket, w, g): a slice's distinct words and longer n-grams that the filter lets through, for a bucket."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                table = pa.Table.from_batches([b.slice(k, 1)])
+                _, size, words, ids, _ = row_of(table)
+                code, _ = distinct_codes(codes(words, ids, size, depth, bits), np.zeros(len(ids), bool))
+                words, code = passing(held.value, words), passing(held.value, code)
+                w, g = dealt(words, 64, buckets), dealt(code, bits, buckets)
+                used = np.flatnonzero((np.diff(w) > 0) | (np.diff(g) > 0))
+                yield pa.RecordBatch.from_arrays([pa.array([table.column("slice")[0].as_py()] * len(used), pa.int64()), pa.array(used.astype(np.int32)), *(pa.array([steps(x[at[i] : at[i + 1]]) for i in used], pa.binary()) for x, at in ((words, w), (code, g)))], ["slice", "bucket", "w", "g"])
+
+    return slices_.select("slice", "train", "size", "words", "ids").mapInArrow(make, "slice long, bucket int, w binary, g binary")
+
+
 def valued(asked: DataFrame, table: DataFrame, bits: int, buckets: int) -> DataFrame:
-    """(slice, wc, wv, gc, gv): the words and n-grams of each slice that have a value, by bucket."""
+    """(slice, bucket, wv, gv): the values of what was asked for, 0 where there is none."""
 
     def answer(rows: pa.Table, model: pa.Table) -> pa.Table:
         is_word = model.column("word").to_numpy(zero_copy_only=False).astype(bool)
         code, value = model.column("code").to_numpy().view(np.uint64), model.column("value").to_numpy()
-        held = []
-        for mask in (is_word, ~is_word):
+        out: dict = {"slice": rows.column("slice"), "bucket": rows.column("bucket")}
+        for side, mask in (("w", is_word), ("g", ~is_word)):
             order = np.argsort(code[mask])
-            held.append((code[mask][order], value[mask][order].astype("<f4")))
-        out: dict = {"slice": rows.column("slice"), "wc": [], "wv": [], "gc": [], "gv": []}
-        for side, c, (known, worth) in (("w", "a", held[0]), ("g", "b", held[1])):
-            for raw in rows.column(c).to_pylist():
+            known, worth = np.r_[code[mask][order], np.uint64(0)], np.r_[value[mask][order], 0.0].astype("<f4")
+            replies = []
+            for raw in rows.column(side).to_pylist():
                 own = summed(raw)
-                at = np.searchsorted(known, own)
-                at[at == len(known)] = 0
-                hit = (known[at] == own) if len(known) else np.zeros(len(own), bool)
-                out[side + "c"].append(steps(own[hit]))
-                out[side + "v"].append(squeezed(worth[at[hit]] if len(known) else worth[:0]))
-        return pa.table({k: v if k == "slice" else pa.array(v, pa.binary()) for k, v in out.items()})
+                at = np.searchsorted(known[:-1], own)
+                replies.append(squeezed(np.where(known[at] == own, worth[at], np.float32(0))))
+            out[side + "v"] = pa.array(replies, pa.binary())
+        return pa.table(out)
 
     top = F.when(F.col("word"), F.shiftrightunsigned("code", 32)).otherwise(F.shiftrightunsigned("code", bits - 32)).bitwiseAND(F.lit(0xFFFFFFFF))
     table = table.withColumn("bucket", F.shiftright(top * F.lit(buckets), 32).cast("int"))
-    left = asked.select("bucket", "slice", "a", "b").repartition(buckets, "bucket").groupBy("bucket")
-    return left.cogroup(table.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(answer, "slice long, wc binary, wv binary, gc binary, gv binary")
+    left = asked.repartition(buckets, "bucket").groupBy("bucket")
+    return left.cogroup(table.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(answer, "slice long, bucket int, wv binary, gv binary")
 
 
-def totals(slices_: DataFrame, replies: DataFrame, base: DataFrame, depth: int, bits: int, tokens: int, kind: str) -> DataFrame:
+def totals(slices_: DataFrame, replies: DataFrame, base: DataFrame, held, depth: int, bits: int, tokens: int, kind: str) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each document."""
 
     def make(own: pa.Table, got: pa.Table) -> pa.Table:
         _, size, words, ids, row = row_of(own)
-        plain = got.column("base").to_pylist()
-        here = next(i for i, x in enumerate(plain) if x is not None)
-        score = restored(plain[here], "<f8").copy()
+        number = got.column("bucket").to_pylist()
+        here = number.index(None)
+        base_score = restored(got.column("base")[here].as_py(), "<f8")
         known = restored(got.column("known")[here].as_py(), "<i8")
-        base_score = score.copy()
-        for c, v, found in (("wc", "wv", None), ("gc", "gv", codes(words, ids, size, depth, bits))):
-            parts = [(summed(x), restored(y, "<f4")) for x, y in zip(got.column(c).to_pylist(), got.column(v).to_pylist(), strict=True) if x is not None]
-            code = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in parts)])
-            if not len(code):
-                continue
-            order = np.argsort(code)
-            code, worth = code[order], np.concatenate([y for _, y in parts])[order].astype(float)
-            for at, wanted in [(np.arange(len(ids)), words[ids])] if found is None else found:
-                to = np.searchsorted(code, wanted)
-                to[to == len(code)] = 0
-                hit = code[to] == wanted
+        order = sorted((i for i in range(len(number)) if i != here), key=number.__getitem__)
+        score = base_score.copy()
+        found = codes(words, ids, size, depth, bits)
+        every, _ = distinct_codes(found, np.zeros(len(ids), bool))
+        for side, places, code in (("wv", [(np.arange(len(ids)), words[ids])], words), ("gv", found, every)):
+            code, raw = passing(held.value, code), got.column(side).to_pylist()
+            worth = np.concatenate([np.zeros(0, "<f4"), *(restored(raw[i], "<f4") for i in order)]).astype(float)
+            code, worth = np.r_[code[worth != 0], np.uint64(0)], np.r_[worth[worth != 0], 0.0]
+            for at, own_code in places:
+                to = np.searchsorted(code[:-1], own_code)
+                hit = np.flatnonzero(code[to] == own_code)
                 score += np.bincount(row[at[hit]], worth[to[hit]], len(size))
         doc = own.column("doc").combine_chunks()
         return pa.table({"doc_id": doc.flatten(), "n_tokens": size, "n_known": known, "train_tokens": np.full(len(size), tokens), "base_score": base_score, "score": score})
@@ -340,15 +370,16 @@ def fitted(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAS
     bits = min(63, max(40, (size * depth).bit_length() + 16))
     replies = stored(answers(requests(texts, depth, bits, buckets), least, buckets))
     distinct = int(replies.agg(F.sum("distinct")).first()[0] or 0)
-    return texts, stored(resolved(texts, replies, depth, bits, buckets, least, tokens, distinct)), bits, buckets, tokens
+    return texts, stored(resolved(texts, replies, depth, bits, tokens, distinct)), bits, buckets, tokens
 
 
 def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST, diverge: float = DIVERGE) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; learn: which rows are learned from."""
     texts, found, bits, buckets, tokens = fitted(docs, learn, depth, least)
-    worth = values(states(found.filter("kind = 2"), depth, diverge))
-    replies = valued(found.filter("kind = 1"), worth, bits, buckets)
-    return totals(texts, replies, found.filter("kind = 0"), depth, bits, tokens, docs.schema["doc_id"].dataType.simpleString())
+    worth = stored(values(states(found.filter("kind = 1"), depth, diverge)))
+    held = docs.sparkSession.sparkContext.broadcast(sieve(worth))
+    replies = valued(wanted(texts, held, depth, bits, buckets), worth, bits, buckets)
+    return totals(texts, replies, found.filter("kind = 0"), held, depth, bits, tokens, docs.schema["doc_id"].dataType.simpleString())
 
 
 def held_out() -> Column:

@@ -81,7 +81,7 @@ def test_states_are_those_of_the_plain_tree(spark):
     data = rows(80) + [(200 + i, "one two three four five six. " * (i % 4) + "one two nine", "en", "s", None) for i in range(30)]
     plain = Plain([t for t, r in zip(spelled(data), data, strict=True) if not held(r)], 2, 4, 6.0, lm.DISCOUNT)
     _, found, _, _, _ = lm.fitted(table(spark, data), ~lm.held_out())
-    own, _ = lm.states(found.filter("kind = 2"))
+    own, _ = lm.states(found.filter("kind = 1"))
     by_length = Counter(len(c) for c in plain.states)
     assert {r["k"]: r["count"] for r in own.groupBy("k").count().collect()} == by_length and len(by_length) == 2
     assert sorted(r.total for r in own.collect()) == sorted(n for n, _ in plain.states.values())
