@@ -93,6 +93,14 @@ def stored(df: DataFrame, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or a longer one, that none of df's columns has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of the rows one after another, and len(column) + 1 offsets into them."""
     if isinstance(column, pa.ChunkedArray):

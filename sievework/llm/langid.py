@@ -29,6 +29,8 @@ from .common import fold, slices, text_buffers
 
 SLOTS = 1 << 16
 SWITCH = 12.0
+#: Least share of a text's letters that its language must have in the pipeline.
+LEAST_SCORE = 0.5
 #: A language is a candidate in a script that holds this share of its letters.
 SCRIPT_SHARE = 0.01
 #: First and last code points of the scripts, by block.
@@ -125,7 +127,8 @@ def viterbi(scores: np.ndarray, row: np.ndarray, rows: int, switch: float) -> np
     order = np.argsort(-count, kind="stable")
     start = start[order]
     alive = np.searchsorted(-count[order], -np.arange(count.max(initial=0)), side="left")  # rows with more than t words
-    came = np.empty(n, np.uint8)
+    kind = np.min_scalar_type(width)
+    came = np.empty(n, kind)
     stay = np.empty((n, width), bool)
     best = np.zeros((rows, width), np.float32)
     for t, m in enumerate(alive):
@@ -136,7 +139,7 @@ def viterbi(scores: np.ndarray, row: np.ndarray, rows: int, switch: float) -> np
         came[w] = top
         stay[w] = keep = old >= high - switch
         best[:m] = np.where(keep, old, high - switch) - high + scores[w]
-    label = np.empty(n, np.uint8)
+    label = np.empty(n, kind)
     state = best.argmax(axis=1)
     for t in range(len(alive) - 1, -1, -1):
         m = alive[t]
@@ -158,40 +161,48 @@ def labelled(data: np.ndarray, offsets: np.ndarray, model: tuple, switch: float)
     return viterbi(scores, row[known], rows, switch), length[known], row[known], letters
 
 
+def decided(data: np.ndarray, offsets: np.ndarray, model: tuple, switch: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and number of spans of each row."""
+    langs, _, _, prior = model
+    rows = len(offsets) - 1
+    if not langs:
+        return np.full(rows, "und", object), np.zeros(rows), np.zeros(rows, np.int64)
+    label, length, row, letters = labelled(data, offsets, model, switch)
+    votes = np.bincount(row * len(langs) + label, length, rows * len(langs)).reshape(rows, -1)
+    silent = votes.sum(axis=1) == 0
+    pred = np.where(silent, prior.argmax(), votes.argmax(axis=1))
+    score = np.where(silent, 0, votes.max(axis=1) / np.maximum(votes.sum(axis=1), 1))
+    names = np.where(letters == 0, "und", np.array(langs, object)[pred])
+    turn = np.r_[True, (label[1:] != label[:-1]) | (row[1:] != row[:-1])][: len(label)]
+    return names, score, np.bincount(row[turn], minlength=rows)
+
+
 def identify(docs: DataFrame, learn: Column, switch: float = SWITCH) -> DataFrame:
     """docs' doc_id, lang_pred, score and spans; learn: which rows may be learned from."""
     model = docs.sparkSession.sparkContext.broadcast(trained(docs.filter(learn & F.col("lang").isNotNull())))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, _, _, prior = model.value
         for b in slices(batches):
-            rows = b.num_rows
-            if not langs:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(["und"] * rows), pa.array(np.zeros(rows)), pa.array([0] * rows, pa.int32())], ["doc_id", "lang_pred", "score", "n_spans"])
-                continue
-            label, length, row, letters = labelled(*text_buffers(b.column("text")), model.value, switch)
-            votes = np.bincount(row * len(langs) + label, length, rows * len(langs)).reshape(rows, -1)
-            silent = votes.sum(axis=1) == 0
-            pred = np.where(silent, prior.argmax(), votes.argmax(axis=1))
-            score = np.where(silent, 0, votes.max(axis=1) / np.maximum(votes.sum(axis=1), 1))
-            names = np.where(letters == 0, "und", np.array(langs, object)[pred])
-            turn = np.r_[True, (label[1:] != label[:-1]) | (row[1:] != row[:-1])][: len(label)]
-            spans = np.bincount(row[turn], minlength=rows)
+            names, score, spans = decided(*text_buffers(b.column("text")), model.value, switch)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(spans.astype(np.int32))], ["doc_id", "lang_pred", "score", "n_spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, lang_pred string, score double, n_spans int")
 
 
-def accepted(docs: DataFrame, switch: float = SWITCH) -> DataFrame:
-    """The rows of docs whose language can be told: those that identify() doesn't call `und`."""
+def accepted(docs: DataFrame, least: float = LEAST_SCORE, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs that identify() gives a language with a score of `least` or more.
+
+    A row goes if it is `und`, if its letters are of scripts that say nothing, or if no
+    language has that share of them.  Where no row has a language to learn from, nothing
+    can be told, and all rows stay.
+    """
     model = docs.sparkSession.sparkContext.broadcast(trained(docs.filter(F.col("lang").isNotNull())))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            if model.value[0]:
-                *_, letters = labelled(*text_buffers(b.column("text")), model.value, switch)
-                yield b.filter(pa.array(letters > 0))
+            names, score, _ = decided(*text_buffers(b.column("text")), model.value, switch)
+            yield b.filter(pa.array((names != "und") & (score >= least) if model.value[0] else np.ones(b.num_rows, bool), pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

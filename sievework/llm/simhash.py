@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, partitions, slices, text_buffers, word_spans
+from .common import LOWER, cut, partitions, slices, text_buffers, unused, word_spans
 
 SEED = 42
 
@@ -55,14 +55,21 @@ def shingle_bits(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarra
     hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in zip(begin[head].tolist(), end[tail].tolist(), strict=True)), np.uint64, len(head))
     of = row[head]
     new = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-    total = np.diff(np.r_[new, len(of)])
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, new, axis=0, dtype=np.int32)
     out = np.zeros(rows, np.uint64)
-    out[of[new]] = np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    out[of[new]] = majority(hashes, new)
     return out
 
 
+def majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each stretch of hashes the bits that more than half of it have."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    total = np.diff(np.r_[starts, len(hashes)])
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, th, fp): the text's hash, and the fingerprint as a signed long."""
 
@@ -242,7 +249,8 @@ def first_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame
 def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with one row for each root of found (doc_id, th, root)."""
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"))).alias("row"))
-    keep = first.select(F.col("row.doc_id").alias("keep_doc"), F.col("row.th").alias("keep_th"))
-    kept = docs.withColumn("keep_of", F.xxhash64("text"))
-    kept = kept.join(keep, kept.doc_id.eqNullSafe(keep.keep_doc) & (kept.keep_of == keep.keep_th), "left_semi")
-    return kept.dropDuplicates(["doc_id", "keep_of"]).drop("keep_of")
+    doc, th = unused(docs, "keep_doc"), unused(docs, "keep_th")
+    keep = first.select(F.col("row.doc_id").alias(doc), F.col("row.th").alias(th))
+    kept = docs.withColumn(th, F.xxhash64("text"))
+    kept = kept.join(keep, kept.doc_id.eqNullSafe(keep[doc]) & (kept[th] == keep[th]), "left_semi")
+    return kept.dropDuplicates(["doc_id", th]).drop(th)
