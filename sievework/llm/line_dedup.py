@@ -3,8 +3,8 @@
 A line is removed if the same line, or one within `limit` edits of it, stands earlier:
 in a document with a smaller doc_id, or further up in the same one.  All lines are judged
 on the input.  Edits are insertions, deletions and substitutions of UTF-8 bytes.  Lines
-of fewer than SHORT bytes always stay; lines of fewer than NEAR bytes go only for equal
-ones.
+without a word always stay; lines of fewer than NEAR bytes go only for equal ones, since
+two edits make another word of a short one.
 
 If two lines differ by at most k edits and one is cut into k + 1 segments, a segment
 occurs unchanged in the other, at a place that its length and the difference in length
@@ -29,11 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_CODE, cut, mix, partitions, powers, slices, stored, text_buffers
+from .common import BASE, BYTE_CODE, SPACE, cut, mix, partitions, powers, slices, stored, text_buffers, unused
 
 LIMIT = 2
-SHORT = 24
 NEAR = 48
+#: A line of more than this share of all lines is matched with its verdict apart from the rest; there are fewer than 1 / HOT such lines.
+HOT = 1 / 1000
 #: Bits of the filter that tells candidates' lines from the rest.
 FILTER = 1 << 24
 CHUNK = 1 << 19
@@ -193,7 +194,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             data, offsets = text_buffers(b.column("text"))
             starts, ends, row, number = line_spans(data, offsets)
-            use = ends - starts >= SHORT
+            blank = np.r_[0, np.cumsum(~SPACE[data])]
+            use = blank[ends] > blank[starts]
             h1, h2 = digests(data.tobytes(), starts[use], ends[use])
             at = pa.array(row[use])
             yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), b.column("doc_id").take(at), b.column("th").take(at), pa.array(number[use].astype(np.int32))], ["h1", "h2", "doc_id", "th", "line_no"])
@@ -318,24 +320,28 @@ def removals(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
     other = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other"))
     near = both.join(other, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"))
-    bad = firsts.join(near, ["h1", "h2"], "left").filter("n > 1 or other < first").select("h1", "h2", F.least("first", "other").alias("first"))
-    gone = spots.join(bad, ["h1", "h2"]).filter(place > F.col("first"))
+    bad = cut(firsts.join(near, ["h1", "h2"], "left").filter("n > 1 or other < first").select("h1", "h2", "n", F.least("first", "other").alias("first")))
+    most = max(1000, int((firsts.agg(F.sum("n")).first()[0] or 0) * HOT))
+    hot = F.broadcast(bad.filter(F.col("n") > most).drop("n"))  # fewer than 1 / HOT rows
+    cold = bad.filter(F.col("n") <= most).drop("n")
+    gone = spots.join(hot, ["h1", "h2"]).unionByName(spots.join(hot.select("h1", "h2"), ["h1", "h2"], "left_anti").join(cold, ["h1", "h2"])).filter(place > F.col("first"))
     return gone.groupBy("doc_id", "th").agg(F.collect_set("line_no").alias("gone"))
 
 
 def deduped(docs: DataFrame, limit: int = LIMIT, counts: bool = False) -> DataFrame:
     """docs with the removed lines gone from text (and n_chars as long as it is then); counts adds n_lines and n_removed."""
-    gone = removals(docs, limit).select(F.col("doc_id").alias("line_doc"), F.col("th").alias("line_th"), F.col("gone").alias("line_gone"))
-    joined = docs.join(gone, docs.doc_id.eqNullSafe(gone.line_doc) & (F.xxhash64(docs.text) == gone.line_th), "left")
+    doc, th, numbers = (unused(docs, c) for c in ("line_doc", "line_th", "line_gone"))
+    gone = removals(docs, limit).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("gone").alias(numbers))
+    joined = docs.join(gone, docs.doc_id.eqNullSafe(gone[doc]) & (F.xxhash64(docs.text) == gone[th]), "left")
     lines = F.split("text", "\n", -1)
-    text = F.when(F.col("line_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("line_gone", i)), "\n"))
+    text = F.when(F.col(numbers).isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(numbers, i)), "\n"))
     columns = {c: F.col(c) for c in docs.columns} | {"text": text.alias("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.col("line_gone").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(kind)).alias("n_chars")
+        columns["n_chars"] = F.when(F.col(numbers).isNull(), F.col("n_chars")).otherwise(F.length(text).cast(kind)).alias("n_chars")
     columns = list(columns.values())
     if counts:
-        columns += [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("line_gone"), F.lit(0)).cast("long").alias("n_removed")]
+        columns += [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias("n_removed")]
     return joined.select(*columns)
 
 

@@ -138,6 +138,6 @@ def query(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """docs as the mix takes them: a document that is taken twice is there twice."""
-    names = docs.columns
-    mixed, _, _ = mix(docs, F.array(F.col("source").cast("string")), words("text"))
-    return mixed.filter("mix_times > 0").select(*names, F.explode(F.expr("sequence(1L, mix_times)")).alias("mix_copy")).select(*names)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("mix_id"), F.col("source").cast("string").alias("mix_source"), words("text").alias("mix_n"))
+    mixed, _, _ = mix(packed, F.array("mix_source"), F.col("mix_n"), ident="mix_id")
+    return mixed.filter("mix_times > 0").select("row", F.explode(F.expr("sequence(1L, mix_times)"))).select("row.*")

@@ -8,7 +8,8 @@ the sum over all pairs takes linear time by the identity
 
 The model is fitted on a bounded sample of labelled documents and has a fixed size, so
 it can be broadcast; every document is scored where it is read.  Null texts count as
-empty, null n_chars as 0.  Repeated rows are repeated in the result.  Without labels
+empty, null n_chars as 0.  Repeated rows are repeated in the result; of rows with
+one doc_id the least text is learned from.  Without labels
 every score is 0.5.
 """
 
@@ -136,9 +137,9 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int) -> Machine | None:
             parts = [[x[i:j].astype(t).tobytes() for i, j in zip(ends, ends[1:])] for x, t in ((slot, "<u2"), (value, "<f4"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("good"), *(pa.array(p, pa.binary()) for p in parts), pa.array([s.astype("<f8").tobytes() for s in stats], pa.binary())], ["doc_id", "good", "slot", "value", "stats"])
 
-    some = docs.select("doc_id", "text", chars(docs)).join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+    some = docs.select("doc_id", "text", chars(docs)).join(F.broadcast(marks), "doc_id").groupBy("doc_id", "good").agg(F.min(F.struct("text", "n_chars")).alias("row"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = some.select("doc_id", "good", "text", "n_chars").mapInArrow(make, f"doc_id {kind}, good int, slot binary, value binary, stats binary").collect()
+    got = some.select("doc_id", "good", "row.text", "row.n_chars").mapInArrow(make, f"doc_id {kind}, good int, slot binary, value binary, stats binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: r.doc_id)

@@ -7,7 +7,8 @@ thresholds that single out bad documents, prunes them on statistics held apart,
 removes what they cover.  The result is an ordered conditional expression.
 
 Null texts have no words.  A text with no letter has zero ratios.  Repeated rows are
-repeated in the result.  Without labels there are no rules, and the verdict is `kept`.
+repeated in the result; of rows with one doc_id the least text is learned from.  Without
+labels there are no rules, and the verdict is `kept`.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def statistics(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[li
     """Thresholds of each measure; rows (part, bins, good, bad). At most `sample` rows reach the driver."""
     marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    some = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+    some = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").groupBy("doc_id", "good").agg(F.min("text").alias("text"))
     some = cut(measured(some, "doc_id", "good").filter("not base_failed").select("doc_id", "good", "m.*"))
     points = [i / BINS for i in range(1, BINS)]
     found = some.agg(*[F.expr(f"percentile_approx({m}, array({', '.join(map(str, points))}), 10000)").alias(m) for m in MEASURES]).first()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import langid, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, suffix_dedup
 from .common import documents, labels
@@ -50,6 +51,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
 
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5_media stores and reads back."""
+    return op5_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of op6_quality_rules."""
+    return quality_rules.measured(documents(spark, sf_dir), "doc_id").drop("m")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op8_mixing that the contract fixes."""
+    return op8_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
@@ -62,6 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "media_payloads": media_payloads,
+        "quality_counts": quality_counts,
+        "mix_targets": mix_targets,
     }
 
 
@@ -79,9 +98,9 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
 FROM d JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)"""
 
 #: Distinct lines of nearly the same length; at most two edits leave some third of a line as it is.
-OP10_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents),
+OP10_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents),
  q AS (SELECT *, octet_length(encode(line)) AS n FROM l),
- f AS (SELECT line, n, length(line) // 3 AS t, min({'d': doc_id, 'k': k}) AS p FROM q WHERE n >= 24 GROUP BY line, n),
+ f AS (SELECT line, n, length(line) // 3 AS t, min({'d': doc_id, 'k': k}) AS p FROM q WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line, n),
  s AS (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS m FROM f WHERE n >= 48),
  o AS (SELECT a.line, min(b.p) AS o FROM s a JOIN f b ON a.m = b.n WHERE b.n >= 48 AND a.line <> b.line AND CASE
        WHEN left(a.line, a.t) = left(b.line, a.t) OR right(a.line, a.t) = right(b.line, a.t) OR contains(b.line, substring(a.line, a.t + 1, a.t))
@@ -91,5 +110,29 @@ OP10_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id"""
 
 
+MEDIA_SQL = """WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+ q AS (SELECT doc_id, b, n, CAST(greatest(ceil(n / 576.0), 1) * 576 AS BIGINT) AS p FROM d)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, p AS payload_bytes, sha256(unhex(hex(b) || repeat('FF', p - n))) AS payload_sha256 FROM q"""
+
+COUNTS_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ v AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+ u AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM v),
+ r AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM u WHERE n > 1) GROUP BY doc_id),
+ l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+ o AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum([length(x) for x in w]), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM o"""
+
+#: The excess is dealt again in rounds; ten are more than there are weights and sources to fill here.
+TARGETS_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+ t(k, source, n, w, goal) AS (SELECT 0, source, n, w, CAST(NULL AS DOUBLE) FROM s
+  UNION ALL SELECT k + 1, source, n, w, CASE WHEN goal IS NULL AND unit * w > 2 * n THEN 2.0 * n ELSE goal END FROM
+   (SELECT *, (1.5 * sum(n) OVER () - coalesce(sum(goal) OVER (), 0)) / sum(w) FILTER (goal IS NULL) OVER () AS unit FROM t) WHERE k < 10),
+ g AS (SELECT source, n, coalesce(goal, (1.5 * sum(n) OVER () - coalesce(sum(goal) OVER (), 0)) / sum(w) FILTER (goal IS NULL) OVER () * w) AS goal FROM t WHERE k = 10)
+SELECT doc_id, size, n AS source_size, round(goal, 3) AS target FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_suffix_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL, "media_payloads": MEDIA_SQL, "quality_counts": COUNTS_SQL, "mix_targets": TARGETS_SQL}

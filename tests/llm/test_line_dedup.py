@@ -1,11 +1,12 @@
 import hashlib
 import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sievework.llm import line_dedup
+from sievework.llm.common import WORD
 from tests.llm.cases import WORDS, empty, rows, table
 
 
@@ -34,7 +35,7 @@ def expected(data):
     places = []
     for r in data:
         key = (r[0] is None, r[0] or 0)
-        places += [(line.encode(), (*key, i)) for i, line in enumerate((r[1] or "").split("\n")) if len(line.encode()) >= line_dedup.SHORT]
+        places += [(line.encode(), (*key, i)) for i, line in enumerate((r[1] or "").split("\n")) if re.search(WORD, line)]
     out = []
     for r in data:
         key = (r[0] is None, r[0] or 0)
@@ -43,7 +44,7 @@ def expected(data):
         for i, line in enumerate(lines):
             x = line.encode()
             limit = 2 if len(x) >= line_dedup.NEAR else 0
-            drop = len(x) >= line_dedup.SHORT and any(p < (*key, i) and (y == x or (limit and len(y) >= line_dedup.NEAR and abs(len(x) - len(y)) <= limit and line_dedup.plain_distance(x, y) <= limit)) for y, p in places)
+            drop = bool(re.search(WORD, line)) and any(p < (*key, i) and (y == x or (limit and len(y) >= line_dedup.NEAR and abs(len(x) - len(y)) <= limit and line_dedup.plain_distance(x, y) <= limit)) for y, p in places)
             gone += drop
             kept += [] if drop else [line]
         out.append((r[0], 0 if r[1] is None else len(lines), gone, hashlib.sha256("\n".join(kept).encode()).hexdigest()))
@@ -74,7 +75,13 @@ def test_against_all_pairs(spark):
 
 
 def test_columns_stay(spark):
-    docs = table(spark, planted()).withColumn("gone", F.lit(1)).withColumn("h1", F.lit("x"))
+    docs = table(spark, planted()).selectExpr("*", "1 as gone", "'x' as h1", "2 as line_gone", "3 as line_doc", "4 as line_th", "5 as line_no")
     out = line_dedup.deduped(docs)
     assert out.columns == docs.columns and out.count() == 30
     assert line_dedup.query(empty(spark)).count() == 0
+
+
+def test_one_line_in_20000_documents(spark):
+    data = [(i, f"the same line everywhere\n{hashlib.sha256(str(i).encode()).hexdigest()}", "en", "s", None) for i in range(20_000)]
+    out = line_dedup.removals(table(spark, data)).collect()
+    assert len(out) == 19_999 and all(0 in r.gone for r in out)

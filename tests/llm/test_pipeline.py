@@ -50,5 +50,6 @@ def test_run(spark, tmp_path):
 
 
 def test_mixing_keeps_clashing_names(spark):
-    docs = table(spark, rows(20)).selectExpr("*", "1 as passes", "'x' as edge", "2 as rest", "3 as words", "4 as upto")
-    assert mixing.repeated(docs).columns == docs.columns
+    docs = table(spark, rows(20)).selectExpr("*", "1 as passes", "'x' as edge", "2 as rest", "3 as words", "4 as upto", "5 as mix_size", "6 as mix_copy", "7 as mix_members", "8 as mix_times", "9 as row")
+    out = mixing.repeated(docs)
+    assert out.columns == docs.columns and out.count() > 0

@@ -62,3 +62,8 @@ def test_bit_planes_find_every_close_pair():
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {tuple(r) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(61)}
+
+
+def test_first_of_each_keeps_clashing_names(spark):
+    docs = table(spark).selectExpr("*", "1 as keep_of", "2 as keep_doc", "3 as keep_th", "4 as root", "5 as fp")
+    assert simhash.first_of_each(docs).columns == docs.columns
