@@ -7,6 +7,7 @@ on its own.  Nulls count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -116,6 +117,13 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system, so that a worker doesn't hold it while it waits."""
+    pa.default_memory_pool().release_unused()
+    if libc := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        libc(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of text; a longer text is a batch of its own."""
     for batch in batches:
@@ -125,6 +133,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
             yield batch.slice(at, end - at)
             at = end
+    trim()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

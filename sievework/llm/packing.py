@@ -109,7 +109,7 @@ def tokens(docs: DataFrame, path: str, window: int, salts: int) -> DataFrame:
         if path not in _encoders:
             _encoders[path] = Encoder(path)
         encoder = _encoders[path]
-        for b in slices(batches):
+        for b in slices(batches, most=1 << 20):
             ids = encoder.ids([t or "" for t in b.column("text").to_pylist()])
             full = [len(x) // window for x in ids]
             yield pa.RecordBatch.from_arrays(
