@@ -36,10 +36,24 @@ def python_error(texts: pa.Array) -> pa.Array:
 
 
 def string_field(body: Column, name: str) -> Column:
-    """A text field of a JSON object; empty for anything else: no JSON, no object, no such field, a field of another kind."""
-    parsed = F.try_parse_json(body)
-    kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
-    return F.when(kind == "STRING", F.coalesce(F.get_json_object(body, f"$.{name}"), F.lit(""))).otherwise(F.lit(""))
+    """A text field of a JSON object by the strict parser; of repeated fields the last.
+
+    Empty for anything else: null, no JSON, no object, no such field, a field of another kind.
+    """
+
+    def value(text: str | None) -> str:
+        try:
+            found = json.loads(text or "")
+        except (ValueError, RecursionError):
+            return ""
+        field = found.get(name) if isinstance(found, dict) else None
+        return field.encode("utf-8", "replace").decode() if isinstance(field, str) else ""  # half of a surrogate pair is no text
+
+    @F.arrow_udf(StringType())
+    def fields(texts: pa.Array) -> pa.Array:
+        return pa.array([value(t) for t in texts.to_pylist()], pa.string())
+
+    return fields(body)
 
 
 def error_envelope(kind: Column, text: Column) -> Column:

@@ -17,10 +17,22 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def summary(findings: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row (ok, n_errors, counts), summed where the findings are; counts: one row of numbers."""
+    pairs = [x for c in counts.columns for x in (F.lit(c), F.col(c).cast("long"))]
+    total = findings.agg(F.count("*").alias("n_errors"))
+    return counts.select(F.create_map(*pairs).alias("counts")).crossJoin(total).select((F.col("n_errors") == 0).alias("ok"), "n_errors", "counts")  # one row by one row
+
+
+def json_lines(findings: DataFrame) -> DataFrame:
+    """Each finding as a JSON object, however many there are."""
+    return findings.select(F.to_json(F.struct("kind", "subject", "message")).alias("json"))
+
+
 def report(findings: DataFrame, counts: DataFrame) -> DataFrame:
     """One row (ok, counts, errors); counts: one row of numbers.
 
-    The messages are one array, as a report needs them; for many use the findings.
+    The messages are one array, as a small report needs them; for many use summary and json_lines.
     """
     errors = findings.agg(F.array_sort(F.collect_list("message")).alias("errors"))
     pairs = [x for c in counts.columns for x in (F.lit(c), F.col(c).cast("long"))]

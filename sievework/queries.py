@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from .functions import maps, syntax, text
 from .operators import findings, membership
 from .plans.routing import Route, decisions, routed
-from .sources.trees import literal, without
+from .plans.tree_check import Rules, check
+from .sources.trees import depth, literal, read_tree, without
 
+#: The tables that a folder of tables holds.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 MAIL = "@"
 LEAKS = [r"[a-z0-9._]+@[a-z0-9.]+\.[a-z]+", 'token = "[0-9a-f]{40}"']
 HOST = r"^https?://([^/?#]+)"
@@ -43,8 +46,7 @@ def regex_all(spark, d):
 
 
 def regex_lines(spark, d):
-    lines = F.regexp_extract_all("text", F.lit(r"(?md)^([^\n]{1,20}\.)$"), F.lit(1))
-    return _table(spark, d, "documents").select("doc_id", F.posexplode(lines).alias("pos", "line"))
+    return _table(spark, d, "documents").select("doc_id", F.posexplode(text.line_matches(F.col("text"), r"^([^\n]{1,20}\.)$")).alias("pos", "line"))
 
 
 def any_pattern(spark, d):
@@ -190,14 +192,35 @@ def counts_report(spark, d):
 
 
 def report_fields(spark, d):
-    rows = contains(spark, d)
-    return rows.agg((F.count("*") == 0).alias("ok"), F.count("*").alias("n_errors"))
+    mail = findings.finding(contains(spark, d), "mail", F.col("doc_id"), F.lit(""))
+    return findings.summary(mail, counts_report(spark, d)).select("ok", "n_errors")
 
 
 def report_json(spark, d):
-    kinds = _findings(spark, d).filter("kind <> 'unlabelled'")
-    one = findings.report(kinds, counts_report(spark, d))
-    return one.select("ok", F.size("errors").cast("long").alias("n_errors"), F.element_at("counts", "documents").alias("documents"))
+    one = findings.summary(_findings(spark, d), counts_report(spark, d))
+    return one.select("ok", "n_errors", F.element_at("counts", "documents").alias("documents"))
+
+
+def finding_lines(spark, d):
+    return findings.json_lines(_findings(spark, d))
+
+
+def strict_field(spark, d):
+    body = F.concat(F.lit('{"model":"a","model":"'), F.col("event_type"), F.when(F.col("event_id") % 3 == 0, F.lit('"} x')).when(F.col("event_id") % 3 == 1, F.lit('","v":NaN}')).otherwise(F.lit('"}')))
+    return _table(spark, d, "events").select("event_id", syntax.string_field(body, "model").alias("model"))
+
+
+def tree_files(spark, d):
+    return read_tree(spark, d).filter(F.col("is_file") & F.endswith("path", F.lit(".parquet")) & (depth() == 1)).select("path")
+
+
+RULES = Rules(required=("p/0.html", "p/none.html"), forbidden=("p/1.html", "q.html"), home="utm_", secrets=("page=[0-9]+",), own="p/2.html")
+
+
+def tree_findings(spark, d):
+    path = F.concat(F.lit("p/"), F.col("page_id").cast("string"), F.lit(".html"))
+    tree = _table(spark, d, "pages").select(path.alias("path"), F.lit(True).alias("is_file"), F.encode(F.concat("url", F.lit(" "), "html"), "utf-8").alias("content"))
+    return check(tree, RULES)[0]
 
 
 def _requests(spark, d):
@@ -271,7 +294,15 @@ SQL = {
     "findings_union": _FINDINGS,
     "counts_report": "SELECT count(DISTINCT source) AS sources, count(*) AS documents, count(DISTINCT lang) AS langs FROM documents",
     "report_fields": "SELECT count(*) = 0 AS ok, count(*) AS n_errors FROM documents WHERE contains(text, '@')",
-    "report_json": f"SELECT n = 0 AS ok, n AS n_errors, (SELECT count(*) FROM documents) AS documents FROM (SELECT count(*) AS n FROM ({_FINDINGS}) WHERE kind <> 'unlabelled')",
+    "report_json": f"SELECT n = 0 AS ok, n AS n_errors, (SELECT count(*) FROM documents) AS documents FROM (SELECT count(*) AS n FROM ({_FINDINGS}))",
+    "finding_lines": f"""SELECT '{{"kind":"' || kind || '","subject":"' || subject || '","message":"' || message || '"}}' AS json FROM ({_FINDINGS})""",
+    "strict_field": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS model FROM events",
+    "tree_files": f"SELECT * FROM (VALUES {', '.join(f"('{t}.parquet')" for t in TABLES)}) v(path)",
+    "tree_findings": """WITH f AS (SELECT 'p/' || page_id || '.html' AS path, url || ' ' || html AS text FROM pages)
+        SELECT 'required' AS kind, p AS subject, 'required path missing: ' || p AS message FROM (VALUES ('p/0.html'), ('p/none.html')) v(p) WHERE p NOT IN (SELECT path FROM f)
+        UNION ALL SELECT 'forbidden', path, 'forbidden path present: ' || path FROM f WHERE path IN ('p/1.html', 'q.html')
+        UNION ALL SELECT 'home', path, 'absolute user path present: ' || path FROM f WHERE path <> 'p/2.html' AND contains(text, 'utm_')
+        UNION ALL SELECT 'secret', path, 'possible embedded secret: ' || path FROM f WHERE path <> 'p/2.html' AND regexp_matches(text, 'page=[0-9]+')""",
     "routing": f"""SELECT '/v1/' || event_id AS path, {_DESTINATION} AS destination, 'https://' || {_DESTINATION} || '.example/v1/' || event_id AS url, {_MODEL} AS model,
         CAST(length({_BODY}) AS INTEGER) AS length,
         CASE WHEN {_FIRST} THEN 'x-trace=' || user_id || ';x-version=1' ELSE 'authorization=dummy;x-trace=' || user_id END AS headers FROM events""",
