@@ -3,10 +3,12 @@
 Each document becomes its tokenizer ids and one end id.  Every full window of a document
 is a sequence of its own; what remains is shorter than a window, so the remainders are
 described by a histogram of at most `window` lengths.  On the driver shallow combinations
-of lengths that fill a window exactly are enumerated, how often to use each is the
-solution of a non-negative least-squares problem against the histogram, the counts are
-rounded down and kept within what there is, and the residuals are laid end to end, cut at
-the windows' edges.  Only the very last sequence is padded.
+of lengths that fill a window exactly are enumerated (all pairs and triples, quadruples of
+two lengths), how often to use each is the solution of a non-negative least-squares problem
+against the histogram, and the counts are rounded and kept within what there is; what
+rounding leaves is solved again while that places rows.  The residuals are packed greedily
+into windows that they fill.  What fills none is laid end to end and cut at the windows'
+edges.  Only the very last sequence is padded.
 
 A document's place follows from its length and its rank among the rows of that length.
 Ranks are counted in salted groups, so a length that a third of all rows share is spread.
@@ -32,7 +34,8 @@ from .common import partitions, slices, stored
 
 WINDOW = 2048
 END = 1
-SWEEPS = 30
+#: A sweep or a round that leaves more than this share of the (squared) rest is the last one.
+SETTLED = 0.9
 #: How many words an encoder remembers at most.
 CACHE = 600_000
 
@@ -130,67 +133,152 @@ def tokens(docs: DataFrame, path: str, window: int, salts: int) -> DataFrame:
     return made.withColumn("mark", F.crc32("rest")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(salts)).cast("int"))
 
 
-def combinations(lengths: np.ndarray, window: int, stride: int = 61) -> list[tuple[int, ...]]:
-    """Pairs, triples and quadruples of lengths that fill the window; triples by steps of `stride`."""
-    have = set(lengths.tolist())
-    out = {(a, window - a) for a in have if 2 * a <= window and window - a in have}
-    for a in sorted(have):
-        for b in range(a, (window - a) // 2 + 1, stride):
-            if b in have and window - a - b in have:
-                out.add((a, b, window - a - b))
-        if 3 * a < window and window - 3 * a in have:
-            out.add(tuple(sorted((a, a, a, window - 3 * a))))
-    return sorted(out)
-
-
-def solve(columns: list[tuple[int, ...]], counts: dict[int, int], sweeps: int = SWEEPS) -> np.ndarray:
-    """Non-negative x with sum_c x_c * (how often length is in c) near counts, by coordinate descent."""
-    left = dict(counts)
-    x = [0.0] * len(columns)
-    for _ in range(sweeps):
-        moved = 0.0
+def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
+    """All pairs and triples of lengths that fill the window, and quadruples of two lengths, a row each; 0 fills up."""
+    have = np.zeros(window + 1, bool)
+    have[lengths[(lengths > 0) & (lengths < window)]] = True
+    at = np.flatnonzero(have)
+    none = np.zeros_like(at)
+
+    def kept(*columns: np.ndarray) -> np.ndarray:
+        """The rows whose last length occurs, in order of length."""
+        last = columns[-1]
+        rows = np.stack(columns, axis=1)[(last > 0) & have[np.maximum(last, 0)]]
+        return np.sort(rows, axis=1)
+
+    low, few = at[2 * at <= window], none[2 * at <= window]
+    found = [kept(few, few, low, window - low), kept(at, at, at, window - 3 * at)]
+    if window % 2 == 0:
+        low = at[4 * at < window]
+        found.append(kept(low, low, window // 2 - low, window // 2 - low))
+    first, second = np.nonzero(np.triu(have[at][:, None] & have[at]))
+    first, second = at[first], at[second]
+    third = window - first - second
+    use = third >= second
+    found.append(kept(0 * first[use], first[use], second[use], third[use]))
+    return np.concatenate(found)
+
+
+def descend(columns: list[tuple[int, ...]], x: list[float], left: list[float]) -> None:
+    """Coordinate descent on x and what it leaves of each length, until a sweep gains next to nothing."""
+    norms = [sum(c.count(a) for a in c) for c in columns]
+    last = sum(v * v for v in left)
+    while last:
         for j, c in enumerate(columns):
-            once = {a: c.count(a) for a in c}
-            step = sum(m * left[a] for a, m in once.items()) / sum(m * m for m in once.values())
-            step = max(step, -x[j])
+            step = max(sum(map(left.__getitem__, c)) / norms[j], -x[j])
             if step:
                 x[j] += step
-                moved = max(moved, abs(step))
-                for a, m in once.items():
-                    left[a] -= m * step
-        if moved < 0.25:
+                for a in c:
+                    left[a] -= step
+        now = sum(v * v for v in left)
+        if now > SETTLED * last:
+            return
+        last = now
+
+
+def solve(columns: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[int, ...]], list[float]]:
+    """Combinations and how often to use each: x >= 0 that brings sum_c x_c * (how often a length is in c) near counts.
+
+    An active set: in each round every combination is priced, and for each length the one
+    that lowers the squared rest the most joins those in use.
+    """
+    left = counts.astype(float).tolist()
+    norm = sum((columns[:, [i]] == columns) & (columns[:, [i]] > 0) for i in range(columns.shape[1])).sum(axis=1)
+    tie = 1 + 1e-6 * (np.arange(len(columns)) * 40503 % 65536) / 65536  # equal gains don't all meet in one length
+    active: list[tuple[int, ...]] = []
+    x: list[float] = []
+    last = float(np.square(counts, dtype=float).sum())
+    while len(columns):
+        rest = np.array(left)
+        rest[0] = 0
+        step = rest[columns].sum(axis=1) / norm
+        gain = np.where(step > 0, step * step * norm, 0) * tie
+        best = np.zeros(len(counts))
+        for k in range(columns.shape[1]):
+            np.maximum.at(best, columns[:, k], gain)
+        best[0] = np.inf
+        join = ((gain[:, None] == best[columns]) & (gain[:, None] > 0)).any(axis=1)
+        known = set(active)
+        fresh = [c for c in (tuple(v for v in row if v) for row in columns[join].tolist()) if c not in known]
+        active, x = active + fresh, x + [0.0] * len(fresh)
+        descend(active, x, left)
+        used = [j for j, v in enumerate(x) if v > 0]
+        active, x = [active[j] for j in used], [x[j] for j in used]
+        now = sum(v * v for v in left)
+        if not fresh or now > SETTLED * last:
             break
-    return np.array(x)
+        last = now
+    return active, x
+
+
+def filled(left: np.ndarray, longest: int, window: int) -> list[int] | None:
+    """Lengths that fill a window with the longest, from what is left: the largest not longer that fit, the last one or two so that they end at its edge."""
+    free = left.copy()
+    free[longest] -= 1
+    out, room = [longest], window - longest
+    while room:
+        if free[room] > 0:
+            return [*out, room]
+        low = np.arange(1, room // 2 + 1)
+        pair = low[(free[low] > 0) & (free[room - low] > (low == room - low))]
+        if len(pair):
+            return [*out, room - int(pair[-1]), int(pair[-1])]
+        fits = np.flatnonzero(free[: min(room, longest + 1)] > 0)
+        if not len(fits):
+            return None
+        out.append(int(fits[-1]))
+        free[out[-1]] -= 1
+        room -= out[-1]
+    return out
 
 
-def plan(counts: dict[int, int], window: int) -> tuple[dict[int, tuple[list[int], list[tuple[int, int]]]], int]:
-    """For each length the ranks at which its slots begin, (first sequence, offset) of each slot; and the sequences used.
+def plan(counts: dict[int, int], window: int) -> tuple[dict[int, tuple[list[int], list[tuple[int, int]]]], int, dict[str, int]]:
+    """Where each length's slots are, the sequences used, and how many rows went which way.
 
-    The slot at the last of those ranks is that of the residuals: its pair holds None and
-    the place of the first one in the stream of residuals.
+    For each length: the ranks at which its slots begin, and (first sequence, offset) of
+    each slot.  The slot at the last of those ranks is that of the rows left over: its pair
+    holds None and the place of the first one in the stream of them.
     """
-    columns = combinations(np.array(sorted(counts)), window)
-    often = np.floor(solve(columns, counts) + 1e-6).astype(int)
-    left, used = dict(counts), 0
+    left = np.zeros(window + 1, np.int64)
+    left[list(counts)] = list(counts.values())
+    left[0] = 0
+    used = 0
+    ways = {"least_squares": 0, "greedy": 0, "stream": 0}
     out: dict[int, tuple[list[int], list]] = {a: ([], []) for a in counts}
-    for j in np.argsort(-often, kind="stable").tolist():
-        c = columns[j]
-        n = min([int(often[j]), *(left[a] // c.count(a) for a in c)])
-        if n <= 0:
-            continue
+
+    def use(c: list[int] | tuple[int, ...], n: int, way: str) -> None:
+        nonlocal used
         offset = 0
         for a in c:
-            out[a][0].append(counts[a] - left[a])
+            out[a][0].append(counts[a] - int(left[a]))
             out[a][1].append((used, offset))
             left[a] -= n
             offset += a
         used += n
+        ways[way] += n * len(c)
+
+    def most(c: list[int] | tuple[int, ...]) -> int:
+        return min(int(left[a]) // c.count(a) for a in c)
+
+    while left.any():  # what rounding leaves is a smaller problem of the same kind
+        rest = left.sum()
+        columns, x = solve(combinations(np.flatnonzero(left), window), left)
+        for j in sorted(range(len(x)), key=lambda j: (-x[j], columns[j])):
+            n = min(int(x[j] + 0.5), most(columns[j]))
+            if n > 0:
+                use(columns[j], n, "least_squares")
+        if left.sum() > SETTLED * rest:
+            break
+    for a in range(window - 1, 0, -1):
+        while left[a] and (c := filled(left, a, window)):
+            use(c, most(c), "greedy")
     stream = 0
     for a in sorted(counts, reverse=True):
-        out[a][0].append(counts[a] - left[a])
+        out[a][0].append(counts[a] - int(left[a]))
         out[a][1].append((None, stream))
-        stream += a * left[a]
-    return out, used
+        stream += a * int(left[a])
+        ways["stream"] += int(left[a])
+    return out, used, ways
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
@@ -201,7 +289,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     before = "over (partition by length order by salt)"
     cells = cells.select("length", "salt", "rows", "fulls", F.expr(f"sum(rows) {before} - rows").alias("rank_base"), F.expr(f"sum(fulls) {before} - fulls").alias("full_base"))
     totals = sorted(tuple(r) for r in cells.groupBy("length").agg(F.sum("rows"), F.sum("fulls")).collect())  # at most `window` rows
-    places, used = plan({a: n for a, n, _ in totals if a}, window)
+    places, used, _ = plan({a: n for a, n, _ in totals if a}, window)
     whole, at = {}, used
     for a, _, fulls in totals:
         whole[a] = at

@@ -1,5 +1,5 @@
-import re
 from collections import defaultdict
+from itertools import combinations_with_replacement
 
 import numpy as np
 import zlib
@@ -56,11 +56,58 @@ def test_encoder_agrees_with_the_tokenizer():
         assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
+def plain_combinations(lengths, window):
+    out = set()
+    for n in (2, 3):
+        out |= {c for c in combinations_with_replacement(sorted(lengths), n) if sum(c) == window}
+    out |= {tuple(sorted((a, a, a, b))) for a in lengths for b in lengths if 3 * a + b == window}
+    return out | {tuple(sorted((a, a, b, b))) for a in lengths for b in lengths if 2 * (a + b) == window}
+
+
+def test_combinations_are_all():
+    lengths = [3, 5, 16, 21, 22, 32, 40, 43, 56, 59, 60, 64, 80, 88, 123, 125]
+    found = packing.combinations(np.array(lengths), 128)
+    found = [tuple(v for v in row if v) for row in found.tolist()]
+    assert sorted(found) == sorted(plain_combinations(lengths, 128))
+    assert len(packing.combinations(np.array([], int), 128)) == 0
+
+
+def slots(counts, window):
+    """The rows of each sequence, by the plan's slots alone."""
+    places, used, ways = packing.plan(counts, window)
+    found = defaultdict(list)
+    stream = 0
+    for a, n in counts.items():
+        ranks, where = places[a]
+        assert ranks == sorted(ranks) and ranks[0] == 0 and where[-1][0] is None
+        for low, high, (seq, offset) in zip(ranks, [*ranks[1:], n], where, strict=True):
+            for r in range(low, high):
+                if seq is None:
+                    stream += 1
+                else:
+                    found[seq + r - low].append((offset, a))
+    for parts in found.values():
+        at = 0
+        for offset, a in sorted(parts):
+            assert offset == at
+            at += a
+        assert at == window
+    assert sorted(found) == list(range(used)) and stream == ways["stream"] and sum(ways.values()) == sum(counts.values())
+    return ways
+
+
 def test_plan_fills_windows():
-    counts = {100: 50, 28: 50, 64: 30, 40: 7, 127: 3}
-    places, used = packing.plan(counts, 128)
-    assert used >= 60 and set(places) == set(counts)
-    assert not re.search("nan", str(packing.solve(packing.combinations(np.array(sorted(counts)), 128), counts)))
+    assert slots({100: 50, 28: 50, 64: 30, 127: 3}, 128) == {"least_squares": 130, "greedy": 0, "stream": 3}
+    assert slots({16: 8, 90: 1, 10: 3, 8: 1}, 128) == {"least_squares": 0, "greedy": 13, "stream": 0}
+    assert slots({127: 5}, 128) == {"least_squares": 0, "greedy": 0, "stream": 5}
+    assert slots({}, 128) == {"least_squares": 0, "greedy": 0, "stream": 0}
+
+
+def test_least_squares_place_most_rows():
+    rng = np.random.default_rng(5)
+    lengths, n = np.unique(np.clip(rng.normal(900, 450, 20_000).astype(int), 1, 2047), return_counts=True)
+    ways = slots(dict(zip(lengths.tolist(), n.tolist(), strict=True)), 2048)
+    assert ways["least_squares"] > 0.9 * n.sum() and ways["stream"] < 0.1 * n.sum()
 
 
 def test_empty(spark):
