@@ -80,10 +80,10 @@ class Encoder:
         again = words & older.keys()
         known.update((w, older[w]) for w in again)
         marked = [w for w in words - again if w[-1] in ",." and len(w) > 1 and w[-2].isalpha()]
-        bare = {w[:-1] for w in marked} - known.keys()
+        bare = {w[:-1] for w in marked}.difference(known)  # a set's `-` would walk all of known
         again = bare & older.keys()
         known.update((w, older[w]) for w in again)
-        new = list((words - known.keys()).difference(marked) | (bare - known.keys()) | ({",", "."} - known.keys()))
+        new = list(words.difference(known, marked) | bare.difference(known) | {",", "."}.difference(known))
         known.update(zip(new, self.whole(new), strict=True))
         known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
 
@@ -105,14 +105,14 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def tokens(docs: DataFrame, path: str, window: int, salts: int) -> DataFrame:
+def tokens(docs: DataFrame, path: str, window: int, salts: int, most: int) -> DataFrame:
     """A row for each document: its full windows' checksums, and the ids that remain."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = Encoder(path)
         encoder = _encoders[path]
-        for b in slices(batches, most=1 << 20):
+        for b in slices(batches, most=most):
             ids = encoder.ids([t or "" for t in b.column("text").to_pylist()])
             full = [len(x) // window for x in ids]
             yield pa.RecordBatch.from_arrays(
@@ -281,10 +281,10 @@ def plan(counts: dict[int, int], window: int) -> tuple[dict[int, tuple[list[int]
     return out, used, ways
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece."""
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, most: int = 1 << 20) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece; `most` bytes of text are looked at together."""
     spark = docs.sparkSession
-    rows = stored(tokens(docs, path, window, partitions(spark)))
+    rows = stored(tokens(docs, path, window, partitions(spark), most))
     cells = rows.groupBy("length", "salt").agg(F.count("*").alias("rows"), F.sum("full").alias("fulls"))
     before = "over (partition by length order by salt)"
     cells = cells.select("length", "salt", "rows", "fulls", F.expr(f"sum(rows) {before} - rows").alias("rank_base"), F.expr(f"sum(fulls) {before} - fulls").alias("full_base"))
@@ -340,4 +340,4 @@ def default_path() -> str:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return pieces(docs, default_path())
+    return pieces(docs, default_path(), most=2 << 20)
