@@ -18,7 +18,7 @@ repeated in the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -99,41 +99,73 @@ class Planes:
         mask[wanted] = 1
         lanes = np.packbits(mask, bitorder="little").view(np.uint64)
         live = np.flatnonzero(lanes)
-        lanes = lanes[live]
         jump, shift = divmod(step, 64)
-        digits = [np.zeros(len(live), np.uint64) for _ in range(radius.bit_length())]
-        over = ~lanes
-        for k in range(64):
+        low = np.minimum(live + jump, self.words + 1)
+        high = np.minimum(low + 1, self.words + 1)
+
+        def differ(k: int, at: np.ndarray | slice) -> np.ndarray:
             plane = self.planes[k]
-            low = np.minimum(live + jump, self.words + 1)
-            other = plane[low]
+            other = plane[low[at]]
             if shift:
-                other = (other >> np.uint64(shift)) | (plane[np.minimum(low + 1, self.words + 1)] << np.uint64(64 - shift))
-            carry = plane[live] ^ other
-            for i, digit in enumerate(digits):
-                digits[i], carry = digit ^ carry, digit & carry
-            over |= carry
-            if k % 8 == 7:
-                keep = over != np.uint64(0xFFFFFFFFFFFFFFFF)
-                if not keep.all():
-                    live, over, digits = live[keep], over[keep], [d[keep] for d in digits]
-                    if not len(live):
-                        break
-        if not len(live):
-            return np.zeros(0, np.int64)
-        fine = ~over  # fewer than 2 ** len(digits) bits differ
-        if radius + 1 != 1 << len(digits):
-            equal, less = np.full(len(live), 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(len(live), np.uint64)
-            for i in reversed(range(len(digits))):
-                if radius >> i & 1:
-                    less |= equal & ~digits[i]
-                    equal &= digits[i]
-                else:
-                    equal &= ~digits[i]
-            fine &= less | equal
-        lane = np.unpackbits(fine.view(np.uint8), bitorder="little").reshape(-1, 64)
-        word, bit = np.nonzero(lane)
-        return live[word] * 64 + bit
+                other = (other >> np.uint64(shift)) | (plane[high[at]] << np.uint64(64 - shift))
+            return plane[live[at]] ^ other
+
+        at, fine = within(~lanes[live], differ, radius)
+        word, bit = np.nonzero(fine)
+        return live[at][word] * 64 + bit
+
+    def pairs(self, rows: np.ndarray, words: tuple[int, int], radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (i, j) at most radius apart: i of `rows`, j of the words from words[0] up to words[1], and after i."""
+        first = np.maximum(rows // 64, words[0])
+        count = np.maximum(words[1] - first, 0)
+        row = np.repeat(rows, count)
+        word = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        full = np.uint64(0xFFFFFFFFFFFFFFFF)
+        over = np.where(word == row // 64, full >> (63 - row % 64).astype(np.uint64), np.uint64(0))  # lanes up to i itself
+        own, lane = row // 64, (row % 64).astype(np.uint64)
+
+        def differ(k: int, at: np.ndarray | slice) -> np.ndarray:
+            plane = self.planes[k]
+            return plane[word[at]] ^ (np.uint64(0) - (plane[own[at]] >> lane[at] & np.uint64(1)))
+
+        at, fine = within(over, differ, radius)
+        found, bit = np.nonzero(fine)
+        return row[at][found], word[at][found] * 64 + bit
+
+
+def within(over: np.ndarray, differ: Callable, radius: int) -> tuple[np.ndarray | slice, np.ndarray]:
+    """Which words have lanes at most radius apart, and those lanes, 64 to a row.
+
+    Lanes of over are left out from the start; differ(k, at) has the lanes that differ in
+    bit k, for the words at `at`.  Words are abandoned once all their lanes are over.
+    """
+    at: np.ndarray | slice = slice(None)
+    digits = [np.zeros(len(over), np.uint64) for _ in range(radius.bit_length())]
+    for k in range(64):
+        carry = differ(k, at)
+        for digit in digits:
+            both = digit & carry
+            digit ^= carry
+            carry = both
+        over = over | carry
+        if k % 8 == 7:
+            keep = over != np.uint64(0xFFFFFFFFFFFFFFFF)
+            if not keep.all():
+                at = np.flatnonzero(keep) if isinstance(at, slice) else at[keep]
+                over, digits = over[keep], [d[keep] for d in digits]
+                if not len(over):
+                    break
+    fine = ~over  # fewer than 2 ** len(digits) bits differ
+    if radius + 1 != 1 << len(digits):
+        equal, less = np.full(len(over), 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(len(over), np.uint64)
+        for i in reversed(range(len(digits))):
+            if radius >> i & 1:
+                less |= equal & ~digits[i]
+                equal &= digits[i]
+            else:
+                equal &= ~digits[i]
+        fine &= less | equal
+    return at, np.unpackbits(fine.view(np.uint8), bitorder="little").reshape(-1, 64)
 
 
 def spanning_links(table: np.ndarray, key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
