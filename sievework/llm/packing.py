@@ -38,6 +38,9 @@ END = 1
 SETTLED = 0.9
 #: How many words an encoder remembers at most.
 CACHE = 600_000
+#: What stands between words that are encoded together, and how many of them.
+MARK = "|"
+TOGETHER = 100
 
 
 class Encoder:
@@ -57,6 +60,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.mark = self.tokenizer.token_to_id(f"{MARK}</w>")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -64,6 +68,26 @@ class Encoder:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def single(self, words: list[str]) -> list[bytes]:
+        """The ids of each word; many words go to the tokenizer as one text, with marks between them.
+
+        A mark is a token sequence of one id, which only words that hold the mark can have.
+        """
+        plain = [w for w in words if MARK not in w]
+        texts = [f" {MARK} ".join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)]
+        found: dict[str, bytes] = {}
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            own = plain[k * TOGETHER : (k + 1) * TOGETHER]
+            ids = array(self.code, e.ids)
+            ends = [i for i, x in enumerate(ids) if x == self.mark] + [len(ids)]
+            raw, size, at = ids.tobytes(), self.kind.itemsize, 0
+            for w, end in zip(own, ends, strict=True):
+                found[w] = raw[at * size : end * size]
+                at = end + 1
+        other = [w for w in words if MARK in w]
+        found.update(zip(other, self.whole(other), strict=True))
+        return [found[w] for w in words]
+
     def words(self, text: str) -> list[str] | None:
         if any(x in text for x in self.odd) or not unicodedata.is_normalized("NFC", text):
             return None
@@ -84,7 +108,7 @@ class Encoder:
         again = bare & older.keys()
         known.update((w, older[w]) for w in again)
         new = list(words.difference(known, marked) | bare.difference(known) | {",", "."}.difference(known))
-        known.update(zip(new, self.whole(new), strict=True))
+        known.update(zip(new, self.single(new) if self.mark is not None else self.whole(new), strict=True))
         known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
