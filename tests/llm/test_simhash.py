@@ -67,3 +67,15 @@ def test_components_of_a_long_chain(spark):
 def test_first_of_each_keeps_clashing_names(spark):
     docs = table(spark).selectExpr("*", "1 as keep_of", "2 as keep_doc", "3 as keep_th", "4 as root", "5 as fp")
     assert simhash.first_of_each(docs).columns == docs.columns
+
+
+def test_planes_find_all_close_pairs():
+    random = np.random.default_rng(1)
+    for n in (1, 2, 63, 64, 65, 200):
+        values = random.integers(0, 1 << 24, n).astype(np.uint64)
+        planes = simhash.Planes(values)
+        for radius in (3, 7, 10):
+            wanted = {(i, j) for i in range(n) for j in range(i + 1, n) if int(values[i] ^ values[j]).bit_count() <= radius}
+            i, j = planes.pairs(np.arange(n), (0, planes.words), radius)
+            assert {(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if b < n} == wanted
+            assert {(a, a + k) for k in range(1, n) for a in planes.near(k, np.arange(n - k), radius).tolist()} == wanted
