@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, suffix_dedup
+from . import clusters, langid, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, spelling, suffix_dedup
 from .common import documents, labels
 
 
@@ -51,6 +51,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.query(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.query(documents(spark, sf_dir))
+
+
 def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op5_media stores and reads back."""
     return op5_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
@@ -78,6 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "op12_clusters": op12_clusters,
+        "op13_spelling": op13_spelling,
         "media_payloads": media_payloads,
         "quality_counts": quality_counts,
         "mix_targets": mix_targets,
@@ -134,5 +144,49 @@ TARGETS_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(coalesce(len(
 SELECT doc_id, size, n AS source_size, round(goal, 3) AS target FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source"""
 
 
+def _clusters_sql() -> str:
+    """Lloyd's rounds over all rows, each as two tables: nearest centroids, and their means."""
+    parts = [
+        """v AS MATERIALIZED (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+ WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY m, q) - 1 AS cluster, q AS c FROM (SELECT sha256('2:' || vec_id) AS m, q FROM v ORDER BY m, q LIMIT 40))",
+    ]
+    for k in range(clusters.ROUNDS + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (SELECT vec_id, q, min({{'d': d, 'c': cluster}}) AS best FROM
+ (SELECT vec_id, q, cluster, CAST(list_sum([(q[i] - c[i]) * (q[i] - c[i]) FOR i IN range(1, 65)]) AS BIGINT) AS d FROM v, c{k}) GROUP BY vec_id, q)""")
+        parts.append(f"""c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(m, c) AS c FROM c{k} LEFT JOIN (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM
+ (SELECT best.c AS cluster, i, CAST(sum(q[i]) AS BIGINT) AS s, count(*) AS n FROM a{k}, range(1, 65) t(i) GROUP BY best.c, i) GROUP BY cluster) USING (cluster))""")
+    last = clusters.ROUNDS
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+ CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{last} JOIN c{last} ON cluster = best.c"""
+
+
+#: Checksums byte by byte from a table of 256; near words meet where a letter left out makes them equal.
+SPELLING_SQL = r"""WITH RECURSIVE t(i, v, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM t WHERE k < 8),
+ tab AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM t WHERE k = 8),
+ r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+ o AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS x FROM r WHERE length(run) >= 7 GROUP BY doc_id, run),
+ b AS MATERIALIZED (SELECT run, n, xor(list_reduce([CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(len(x) // 2)], lambda a, c: xor(a >> 8, tab[xor(a & 255, c) + 1]), 4294967295), 4294967295) AS h FROM o, tab),
+ w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM b)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+ e AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+ p AS (SELECT a.word, b.word AS other, b.n AS m FROM e a JOIN e b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT e.word, w.word, w.n FROM e JOIN w ON e.less = w.word UNION SELECT w.word, e.word, e.n FROM e JOIN w ON e.less = w.word),
+ s AS MATERIALIZED (SELECT word, count(*) AS n_near, min({'m': -m, 'o': other}) AS best FROM p GROUP BY word),
+ f AS MATERIALIZED (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 10 * n THEN best.o END AS form, CASE WHEN -best.m >= 10 * n THEN -best.m END AS form_n FROM w LEFT JOIN s USING (word)),
+ c(word, last, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT c.word, f.form, k + 1 FROM c JOIN f ON f.word = c.last WHERE f.form IS NOT NULL),
+ z AS (SELECT word, arg_max(last, k) AS root FROM c GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL, "media_payloads": MEDIA_SQL, "quality_counts": COUNTS_SQL, "mix_targets": TARGETS_SQL}
+    return {
+        "op2_suffix_dedup": OP2_SQL,
+        "op10_line_dedup": OP10_SQL,
+        "op12_clusters": _clusters_sql(),
+        "op13_spelling": SPELLING_SQL,
+        "media_payloads": MEDIA_SQL,
+        "quality_counts": COUNTS_SQL,
+        "mix_targets": TARGETS_SQL,
+    }
