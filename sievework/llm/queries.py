@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import clusters, langid, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, spelling, suffix_dedup
+from . import clusters, langid, licenses, line_dedup, lm, media, mixing, packing, quality_fm, quality_rules, simhash, spelling, suffix_dedup
 from .common import documents, labels
 
 
@@ -51,6 +51,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(documents(spark, sf_dir))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.query(documents(spark, sf_dir))
+
+
 def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.query(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -69,6 +73,11 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measured(documents(spark, sf_dir), "doc_id").drop("m")
 
 
+def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op11_licenses that the contract fixes."""
+    return op11_licenses(spark, sf_dir).drop("labels", "score")
+
+
 def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op8_mixing that the contract fixes."""
     return op8_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
@@ -86,8 +95,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "op11_licenses": op11_licenses,
         "op12_clusters": op12_clusters,
         "op13_spelling": op13_spelling,
+        "license_places": license_places,
         "media_payloads": media_payloads,
         "quality_counts": quality_counts,
         "mix_targets": mix_targets,
@@ -144,6 +155,16 @@ TARGETS_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(coalesce(len(
 SELECT doc_id, size, n AS source_size, round(goal, 3) AS target FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source"""
 
 
+#: Words of texts that have a phrase's rarest word, one by one.
+PLACES_SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+ p AS (SELECT * FROM (VALUES ('gpl', ['gnu', 'general', 'public', 'license']), ('apache', ['apache', 'license']), ('cc-by', ['cc', 'by']), ('mit', ['mit', 'license'])) v(label, words)),
+ i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
+ h AS (SELECT doc_id, label, i - 1 AS at FROM i JOIN p ON w[i] = words[1] AND w[i:i + len(words) - 1] = words),
+ g AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels
+FROM d LEFT JOIN g USING (doc_id)"""
+
+
 def _clusters_sql() -> str:
     """Lloyd's rounds over all rows, each as two tables: nearest centroids, and their means."""
     parts = [
@@ -186,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "op10_line_dedup": OP10_SQL,
         "op12_clusters": _clusters_sql(),
         "op13_spelling": SPELLING_SQL,
+        "license_places": PLACES_SQL,
         "media_payloads": MEDIA_SQL,
         "quality_counts": COUNTS_SQL,
         "mix_targets": TARGETS_SQL,
