@@ -159,8 +159,8 @@ SELECT doc_id, size, n AS source_size, round(goal, 3) AS target FROM d JOIN g ON
 PLACES_SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
  p AS (SELECT * FROM (VALUES ('gpl', ['gnu', 'general', 'public', 'license']), ('apache', ['apache', 'license']), ('cc-by', ['cc', 'by']), ('mit', ['mit', 'license'])) v(label, words)),
  i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
- h AS (SELECT doc_id, label, i - 1 AS at FROM i JOIN p ON w[i] = words[1] AND w[i:i + len(words) - 1] = words),
- g AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
+ h AS (SELECT doc_id, label, i - 1 AS k FROM i JOIN p ON w[i] = words[1] AND w[i:i + len(words) - 1] = words),
+ g AS (SELECT doc_id, count(*) AS n_base, min(k) AS first_word, max(k) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels
 FROM d LEFT JOIN g USING (doc_id)"""
 
