@@ -43,6 +43,6 @@ def mismatch(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return actual.subtract(expected).withColumn("side", F.lit("unexpected")).unionByName(expected.subtract(actual).withColumn("side", F.lit("absent")))
 
 
-def listed(rows: DataFrame, column: str, between: str = ", ") -> DataFrame:
-    """One row: the distinct values in order, as one text; empty if there are none."""
-    return rows.agg(F.array_join(F.array_sort(F.collect_set(column)), between).alias(column))
+def listed(rows: DataFrame, column: str, between: str = ", ", by: tuple[str, ...] = ()) -> DataFrame:
+    """The distinct values in order, as one text, for each group; without groups one row, empty if there are none."""
+    return rows.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set(column)), between).alias(column))

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from .functions import maps, syntax, text
 from .operators import findings, membership
 from .plans.routing import Route, decisions, routed
-from .plans.tree_check import Rules, check
-from .sources.trees import depth, literal, read_tree, without
+from .plans.tree_check import Rules, checked
+from .sources.reports import read_findings, verdict, write_report
+from .sources.trees import below, depth, literal, read_tree, without
+from .streaming.requests import log_decisions, read_requests
+from .tables import local_path, new_path
 
 #: The tables that a folder of tables holds.
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -62,8 +65,8 @@ def relative_path(spark, d):
 
 
 def depth_two(spark, d):
-    path = _path(F.col("url"))
-    return _table(spark, d, "pages").filter(path.rlike(r"^[^/]+/[^/]+\.html$")).select("page_id", path.alias("path"))
+    rows = _table(spark, d, "pages").select("page_id", _path(F.col("url")).alias("path"))
+    return rows.filter(below("", 2, ".html"))
 
 
 def row_filter(spark, d):
@@ -160,8 +163,7 @@ def distinct_set(spark, d):
 
 
 def sorted_join(spark, d):
-    langs = F.array_join(F.array_sort(F.collect_set("lang")), ", ")
-    return _table(spark, d, "documents").groupBy("source").agg(langs.alias("langs"))
+    return membership.listed(_table(spark, d, "documents"), "lang", by=("source",)).withColumnRenamed("lang", "langs")
 
 
 def literal_relation(spark, d):
@@ -210,17 +212,69 @@ def strict_field(spark, d):
     return _table(spark, d, "events").select("event_id", syntax.string_field(body, "model").alias("model"))
 
 
+def report_sink(spark, d):
+    """What the sink committed: its findings, and the verdict of its report."""
+    folder = new_path(spark, "report")
+    write_report(_findings(spark, d), counts_report(spark, d), folder)
+    said = verdict(folder)
+    numbers = [F.lit(said["n_errors"]).cast("long").alias("n_errors"), F.lit(said["counts"]["documents"]).cast("long").alias("documents")]
+    return read_findings(spark, folder).select("kind", "subject", "message", F.lit(said["ok"]).alias("ok"), *numbers)
+
+
 def tree_files(spark, d):
-    return read_tree(spark, d).filter(F.col("is_file") & F.endswith("path", F.lit(".parquet")) & (depth() == 1)).select("path")
+    return read_tree(spark, d, columns=("path", "is_file")).filter(F.col("is_file") & F.endswith("path", F.lit(".parquet")) & (depth() == 1)).select("path")
+
+
+def tree_parts(spark, d):
+    """Documents as files of text, a folder for each source, looked at in parts of 64 KB."""
+    folder = new_path(spark, "tree")
+    _table(spark, d, "documents").select("source", "text").write.partitionBy("source").text(folder)
+    parts = read_tree(spark, local_path(folder), part=1 << 16).filter(F.col("is_file") & F.endswith("path", F.lit(".txt")))
+    stretch = text.whole_characters(F.col("content"), F.col("at") == 0, F.col("at") + F.octet_length("content") >= F.col("size"))
+    seen = parts.select(F.regexp_extract("path", "^source=([^/]+)/", 1).alias("source"), F.when(F.col("at") == 0, F.col("size")).alias("size"), text.as_text(stretch).alias("text"))
+    return seen.groupBy("source").agg(
+        F.sum("size").alias("n_bytes"),
+        F.bool_and(F.col("text").isNotNull()).alias("utf8"),
+        F.bool_or(F.contains("text", F.lit(MAIL))).alias("mail"),
+        F.bool_or(text.any_pattern(F.col("text"), LEAKS)).alias("leaks"),
+    )
 
 
-RULES = Rules(required=("p/0.html", "p/none.html"), forbidden=("p/1.html", "q.html"), home="utm_", secrets=("page=[0-9]+",), own="p/2.html")
+RULES = Rules(
+    required=("p/6.html", "p/none.html"),
+    forbidden=("p/7.html", "q.html"),
+    originals="own",
+    adapters="other",
+    pointer="see `(own/[^`]+)`",
+    roster="team.yaml",
+    member='href="/([^"./]+)"',
+    members="people",
+    outside=("the",),
+    home="utm_",
+    secrets=("page=[0-9]+",),
+    own="p/8.html",
+)
+#: Where the n-th of ten pages lies in the tree, and what it holds, in SQL that Spark and DuckDB read alike.
+_PAGE_PATH = """CASE WHEN page_id = 5 THEN 'team.yaml' WHEN page_id % 10 = 0 THEN concat('own/t/', page_id, '/SKILL.md') WHEN page_id % 10 = 1 THEN concat('other/t/', page_id, '/SKILL.md')
+    WHEN page_id % 10 = 2 THEN concat('people/a/', regexp_extract(html, 'href="/([^"./]+)"', 1), '.md') WHEN page_id % 10 = 3 THEN concat('data/', page_id, '.json')
+    WHEN page_id % 10 = 4 THEN concat('code/', page_id, '.py') ELSE concat('p/', page_id, '.html') END"""
+_PAGE_TEXT = """CASE WHEN page_id % 30 = 1 THEN concat('see `own/t/', page_id - 1, '/SKILL.md`') WHEN page_id % 30 = 11 THEN concat('see `own/t/x', page_id, '/SKILL.md`') WHEN page_id % 10 = 1 THEN 'see nothing'
+    WHEN page_id % 10 = 3 THEN concat('{"id": ', page_id, CASE WHEN page_id % 20 = 3 THEN '}' ELSE '' END) WHEN page_id % 10 = 4 THEN concat('x = (', page_id, CASE WHEN page_id % 20 = 4 THEN ')' ELSE '' END)
+    ELSE concat(url, ' ', html) END"""
 
 
 def tree_findings(spark, d):
-    path = F.concat(F.lit("p/"), F.col("page_id").cast("string"), F.lit(".html"))
-    tree = _table(spark, d, "pages").select(path.alias("path"), F.lit(True).alias("is_file"), F.encode(F.concat("url", F.lit(" "), "html"), "utf-8").alias("content"))
-    return check(tree, RULES)[0]
+    """All kinds of findings on a tree made of pages; of syntax errors without the parser's words."""
+    tree = _table(spark, d, "pages").select(F.expr(_PAGE_PATH).alias("path"), F.lit(True).alias("is_file"), F.encode(F.expr(_PAGE_TEXT), "utf-8").alias("content"))
+    found, _ = checked(tree, RULES)
+    said = F.when(F.col("kind").isin("json", "python"), F.substring_index("message", ": ", 2)).otherwise(F.col("message"))
+    return found.select("kind", "subject", said.alias("message"))
+
+
+def tree_counts(spark, d):
+    """The numbers of the same tree's report."""
+    tree = _table(spark, d, "pages").select(F.expr(_PAGE_PATH).alias("path"), F.lit(True).alias("is_file"), F.encode(F.expr(_PAGE_TEXT), "utf-8").alias("content"))
+    return checked(tree, RULES)[1]
 
 
 def _requests(spark, d):
@@ -241,6 +295,18 @@ def decision_log(spark, d):
     return decisions(routed(_requests(spark, d), ROUTE))
 
 
+def request_stream(spark, d):
+    """GET and POST records that arrive in two batches; the stream stops after each, goes on from its checkpoint, and finds nothing new the third time."""
+    folder, target, state = (new_path(spark, name) for name in ("requests", "decisions", "state"))
+    get = F.col("event_id") % 4 == 0
+    rows = _requests(spark, d).select("event_id", F.when(get, "GET").otherwise("POST").alias("method"), "path", F.when(~get, F.col("headers")).alias("headers"), F.when(~get, F.col("body")).alias("body"))
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1, None):
+        if part is not None:
+            rows.filter(part).drop("event_id").write.mode("append").parquet(folder)
+        log_decisions(read_requests(spark, folder), ROUTE, target, state).awaitTermination()
+    return spark.read.parquet(target)
+
+
 _QUERY = r"regexp_extract(url, '\?([^#]*)', 1)"
 _PATH = "regexp_extract(url, '^https?://[^/?#]+/?([^?#]*)', 1)"
 _BODY = "CASE WHEN event_id % 11 = 0 THEN '{' ELSE '{\"model\":\"' || event_type || '\"}' END"
@@ -252,6 +318,8 @@ _FINDINGS = """
     UNION ALL SELECT 'token', CAST(doc_id AS VARCHAR), 'token: ' || doc_id FROM documents WHERE regexp_matches(text, 'token = "[0-9a-f]{40}"')
     UNION ALL SELECT 'unlabelled', CAST(doc_id AS VARCHAR), 'unlabelled: ' || doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
 
+_TREE = f"SELECT {_PAGE_PATH} AS path, {_PAGE_TEXT} AS text FROM pages"
+
 SQL = {
     "contains": "SELECT doc_id FROM documents WHERE contains(text, '@')",
     "regex_first": "SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages",
@@ -297,15 +365,32 @@ SQL = {
     "report_json": f"SELECT n = 0 AS ok, n AS n_errors, (SELECT count(*) FROM documents) AS documents FROM (SELECT count(*) AS n FROM ({_FINDINGS}))",
     "finding_lines": f"""SELECT '{{"kind":"' || kind || '","subject":"' || subject || '","message":"' || message || '"}}' AS json FROM ({_FINDINGS})""",
     "strict_field": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS model FROM events",
+    "report_sink": f"""SELECT kind, subject, message, count(*) OVER () = 0 AS ok, count(*) OVER () AS n_errors, (SELECT count(*) FROM documents) AS documents FROM ({_FINDINGS})""",
     "tree_files": f"SELECT * FROM (VALUES {', '.join(f"('{t}.parquet')" for t in TABLES)}) v(path)",
-    "tree_findings": """WITH f AS (SELECT 'p/' || page_id || '.html' AS path, url || ' ' || html AS text FROM pages)
-        SELECT 'required' AS kind, p AS subject, 'required path missing: ' || p AS message FROM (VALUES ('p/0.html'), ('p/none.html')) v(p) WHERE p NOT IN (SELECT path FROM f)
-        UNION ALL SELECT 'forbidden', path, 'forbidden path present: ' || path FROM f WHERE path IN ('p/1.html', 'q.html')
-        UNION ALL SELECT 'home', path, 'absolute user path present: ' || path FROM f WHERE path <> 'p/2.html' AND contains(text, 'utm_')
-        UNION ALL SELECT 'secret', path, 'possible embedded secret: ' || path FROM f WHERE path <> 'p/2.html' AND regexp_matches(text, 'page=[0-9]+')""",
+    "tree_parts": """SELECT source, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes, true AS utf8, bool_or(contains(text, '@')) AS mail,
+        bool_or(regexp_matches(text, '[a-z0-9._]+@[a-z0-9.]+\\.[a-z]+|token = "[0-9a-f]{40}"')) AS leaks FROM documents GROUP BY source""",
+    "tree_findings": f"""WITH f AS ({_TREE}),
+        o AS (SELECT DISTINCT path FROM f WHERE path LIKE 'own/%'),
+        a AS (SELECT path, nullif(regexp_extract(text, 'see `(own/[^`]+)`', 1), '') AS target FROM f WHERE path LIKE 'other/%'),
+        l AS (SELECT path FROM o EXCEPT SELECT target FROM a),
+        r AS (SELECT unnest(regexp_extract_all(text, 'href="/([^"./]+)"', 1)) AS name FROM f WHERE path = 'team.yaml')
+        SELECT 'required' AS kind, p AS subject, 'expected, but not there: ' || p AS message FROM (VALUES ('p/6.html'), ('p/none.html')) v(p) WHERE p NOT IN (SELECT path FROM f)
+        UNION ALL SELECT DISTINCT 'forbidden', path, 'not allowed, but there: ' || path FROM f WHERE path IN ('p/7.html', 'q.html')
+        UNION ALL SELECT 'pointer', path, 'names no original: ' || path FROM a WHERE target IS NULL
+        UNION ALL SELECT 'target', path, 'names an original that is no file: ' || path || ' -> ' || target FROM a WHERE target NOT IN (SELECT path FROM f)
+        UNION ALL SELECT 'unadapted', 'own', 'originals that no adapter names, other than allowed: ' || string_agg(path, ', ' ORDER BY path) FROM l HAVING count(*) > 0
+        UNION ALL SELECT 'roster', name, 'on the roster without a definition: ' || name FROM r WHERE name <> 'the' AND 'people/a/' || name || '.md' NOT IN (SELECT path FROM f)
+        UNION ALL SELECT 'json', path, 'no JSON: ' || path FROM f WHERE path LIKE 'data/%' AND NOT ends_with(text, '}}')
+        UNION ALL SELECT 'python', path, 'no Python: ' || path FROM f WHERE path LIKE 'code/%' AND NOT ends_with(text, ')')
+        UNION ALL SELECT DISTINCT 'home', path, 'a home folder is named: ' || path FROM f WHERE path <> 'p/8.html' AND contains(text, 'utm_')
+        UNION ALL SELECT DISTINCT 'secret', path, 'looks like a credential: ' || path FROM f WHERE path <> 'p/8.html' AND regexp_matches(text, 'page=[0-9]+')""",
+    "tree_counts": f"""SELECT count(DISTINCT path) FILTER (path LIKE 'own/%') AS originals, count(*) FILTER (path LIKE 'other/%') AS adapters, count(DISTINCT path) FILTER (path LIKE 'people/%') AS members,
+        count(*) FILTER (path LIKE 'code/%') AS python_files, count(*) AS files FROM ({_TREE})""",
     "routing": f"""SELECT '/v1/' || event_id AS path, {_DESTINATION} AS destination, 'https://' || {_DESTINATION} || '.example/v1/' || event_id AS url, {_MODEL} AS model,
         CAST(length({_BODY}) AS INTEGER) AS length,
         CASE WHEN {_FIRST} THEN 'x-trace=' || user_id || ';x-version=1' ELSE 'authorization=dummy;x-trace=' || user_id END AS headers FROM events""",
+    "request_stream": f"""SELECT CASE WHEN event_id % 4 = 0 THEN 'GET' ELSE 'POST' END AS method, '/v1/' || event_id AS path, CASE WHEN event_id % 4 = 0 OR {_MODEL} = '' THEN '-' ELSE {_MODEL} END AS model,
+        CASE WHEN event_id % 4 <> 0 AND {_FIRST} THEN 'first' ELSE 'second' END AS destination FROM events""",
     "decision_log": f"SELECT 'POST' AS method, '/v1/' || event_id AS path, CASE WHEN {_MODEL} = '' THEN '-' ELSE {_MODEL} END AS model, {_DESTINATION} AS destination FROM events",
 }
 

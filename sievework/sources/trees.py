@@ -216,9 +216,10 @@ def depth(path: str = "path") -> Column:
 
 
 def below(base: str, levels: int, ending: str, path: str = "path") -> Column:
-    """Paths exactly `levels` names below base, the last of which ends so."""
-    head = base.rstrip("/") + "/"
-    return F.startswith(F.col(path), F.lit(head)) & (depth(path) == len(head.split("/")) - 1 + levels) & F.endswith(F.col(path), F.lit(ending))
+    """Paths exactly `levels` names below base (below the root, if it is empty), the last of which ends so."""
+    base = base.rstrip("/")
+    head, names = (base + "/", len(base.split("/"))) if base else ("", 0)
+    return F.startswith(F.col(path), F.lit(head)) & (depth(path) == names + levels) & F.endswith(F.col(path), F.lit(ending))
 
 
 def without(folders: list[str], suffixes: list[str] = (), names: list[str] = (), path: str = "path") -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,14 @@ def new_path(spark: SparkSession, name: str = "table") -> str:
     return path
 
 
+def local_path(uri: str) -> str:
+    """The path of a file: URI, for what reads files without Hadoop."""
+    parts = urlparse(uri)
+    if parts.scheme not in ("", "file"):
+        raise ValueError(f"{uri} is no path that Python can open")
+    return unquote(parts.path) if parts.scheme else uri
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df, computed now and read from a Parquet table in the shared folder."""
     path = new_path(df.sparkSession)

@@ -1,11 +1,14 @@
 """Edge cases of the column functions and the routing, in batch and as a stream."""
 
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from sievework.functions import maps, syntax, text
+from sievework.functions.factors import required
 from sievework.plans.routing import SCHEMA, Route, decisions, routed
 from sievework.streaming.requests import log_decisions, read_requests
 
@@ -48,12 +51,46 @@ def test_text(spark):
     assert tuple(one(spark, text.key_value(F.lit(" export  NAME = 'va=lue' ")))) == ("NAME", "va=lue")
     assert tuple(one(spark, text.key_value(F.lit("alone")))) == ("alone", "")
     assert one(spark, text.first_match(F.lit("abc"), "x(y)")) is None
+    assert one(spark, text.first_match(F.lit("abc"), "b(x?)")) == "" and one(spark, text.first_match(F.lit(None).cast("string"), "b(c)")) is None
+    assert one(spark, text.first_match(F.lit("ab ac"), "a(.)")) == "b"
     assert one(spark, text.int_or(F.lit("12"))) == 12 and one(spark, text.int_or(F.lit("a"))) == 0
     assert one(spark, text.as_text(F.encode(F.lit("a\r\nb\rc"), "utf-8"))) == "a\nb\nc"
     assert one(spark, text.or_default(F.lit(""), "d")) == "d"
     assert one(spark, text.line_matches(F.lit("k: a\r\n\u00a0k: b\nk: c\u2028\nx k: d\nk:\n e"), r"^\s*k:\s*([a-z]+)\s*$")) == ["a", "b", "c", "e"]
 
 
+FACTORS = {
+    r"[a-z0-9._]+@[a-z0-9.]+\.[a-z]+": ["@"], 'key = "[0-9a-f]{40}"': ['key = "'], "-----BEGIN (?:A |B )?KEY-----": ["-----BEGIN "], "(ab|cd)+x?": ["ab", "cd"], "a*": [], "x?y?": [],
+    "(?i)abc": [], r"\Qa+\E": [], "[a&&[b]]x": [], "x++y": [], r"\x41b": [], r"\vab": [], "a{0,3}": [], "a{2}b": ["a"], r"a\.b": ["a.b"], "(": [], r"\p{L}x": [], "^é+$": ["é"], "a|": [], "(?!x)yz": ["yz"],
+}
+
+
+@pytest.mark.parametrize("pattern", sorted(FACTORS))
+def test_required_literals(pattern):
+    assert required(pattern) == FACTORS[pattern]
+
+
+PATTERNS = ["a+b", "ab|b(c|a)", "[ab]c{2,}", "(?:a|b)?c", "(?i)CA", "b.a", "^a", "c$", "a{2}", r"a\.c", "", "(ab|c)(a|bc)"]
+
+
+def test_patterns_behind_literals_match_the_same(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc.", k=rng.randrange(7))) for _ in range(400)]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    sets = [rng.sample(PATTERNS, n) for n in (1, 1, 1, 2, 2, 3, 3, 4)] + [[p] for p in PATTERNS] + [[]]
+    found = rows.select("t", *[text.any_pattern(F.col("t"), s).alias(str(k)) for k, s in enumerate(sets)]).collect()
+    for r in found:
+        for k, s in enumerate(sets):
+            assert bool(r[str(k)]) == (r.t is not None and any(re.search(p, r.t) for p in s))
+
+
+def test_literals_reach_the_tables_reader(spark, tmp_path):
+    spark.createDataFrame([("x@y.z",), ("none",)], "t string").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t")).filter(text.any_pattern(F.col("t"), ["[a-z]+@[a-z.]+", 'k="[0-9]"']))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Or(StringContains(t,@),StringContains(t,k=" in plan and rows.count() == 1
+
+
 def test_maps(spark):
     entries = F.create_map(F.lit("Host"), F.lit("h"), F.lit("B"), F.lit("2"))
     assert one(spark, maps.drop_keys(entries, ["host"])) == {"B": "2"}
@@ -90,5 +127,6 @@ def test_stream_gives_what_the_table_gives(spark, tmp_path):
     for part in data.randomSplit([0.5, 0.5], seed=1):
         part.write.mode("append").parquet(folder)
         log_decisions(read_requests(spark, folder), ROUTE, target, str(tmp_path / "state")).awaitTermination()
+    log_decisions(read_requests(spark, folder), ROUTE, target, str(tmp_path / "state")).awaitTermination()  # nothing new
     both = [sorted(map(tuple, x.collect())) for x in (spark.read.parquet(target), decisions(routed(data, ROUTE)))]
     assert both[0] == both[1] and "dummy" not in str(both)
