@@ -8,14 +8,15 @@ many words each pattern gives: whole passes, and a rest.  The rest is filled in
 order of a seeded hash: hash buckets are summed first, so only the one bucket in which
 the rest ends is ordered row by row.
 
-Null texts have size 0.  A null source is a source of its own, after the others.  Rows
-with equal doc_id and size are interchangeable: at the edge of the rest either may be
-the one that is taken, which gives the same rows.  A document is taken whole.
+Null texts have size 0; rows of size 0 are there as often as the pattern is passed as a
+whole.  A null source is a source of its own, after the others.  The order depends on id
+and text, so null or repeated ids are spread like others.  Rows with equal id and text are
+interchangeable: at the edge of the rest either may be the one that is taken, which gives
+the same rows.  A document is taken whole.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -46,62 +47,104 @@ def targets(sizes: dict, weights: Sequence[float], share: float, most: float) ->
     return out
 
 
+class Network:
+    """A flow network by arcs; arc a and a ^ 1 are each other's way back."""
+
+    def __init__(self, nodes: int):
+        self.out: list[list[int]] = [[] for _ in range(nodes)]
+        self.to: list[int] = []
+        self.room: list[int] = []
+
+    def arc(self, a: int, b: int, room: int) -> int:
+        self.out[a].append(len(self.to))
+        self.out[b].append(len(self.to) + 1)
+        self.to += [b, a]
+        self.room += [room, 0]
+        return len(self.to) - 2
+
+    def levels(self, start: int) -> list[int]:
+        """How many arcs with room lead to each node; -1 where none do."""
+        level = [-1] * len(self.out)
+        level[start] = 0
+        front = [start]
+        while front:
+            ahead = []
+            for a in front:
+                for e in self.out[a]:
+                    b = self.to[e]
+                    if self.room[e] and level[b] < 0:
+                        level[b] = level[a] + 1
+                        ahead.append(b)
+            front = ahead
+        return level
+
+    def fill(self, start: int, end: int) -> None:
+        """Adds flow until there is no way left: along shortest ways, all of one length before longer ones."""
+        while (level := self.levels(start))[end] >= 0:
+            tried = [0] * len(self.out)
+            way: list[int] = []
+            a = start
+            while True:
+                if a == end:
+                    step = min(self.room[e] for e in way)
+                    for e in way:
+                        self.room[e] -= step
+                        self.room[e ^ 1] += step
+                    way = way[: next(k for k, e in enumerate(way) if not self.room[e])]
+                    a = self.to[way[-1]] if way else start
+                    continue
+                while tried[a] < len(self.out[a]):
+                    e = self.out[a][tried[a]]
+                    if self.room[e] and level[self.to[e]] == level[a] + 1:
+                        break
+                    tried[a] += 1
+                if tried[a] < len(self.out[a]):
+                    way.append(self.out[a][tried[a]])
+                    a = self.to[way[-1]]
+                elif way:
+                    a = self.to[way.pop() ^ 1]
+                    tried[a] += 1
+                else:
+                    break
+
+
 def flow(supply: dict[tuple, int], quota: dict, most: int) -> dict[tuple, int]:
-    """Words to take from each pattern: a cheapest largest flow, by shortest augmenting paths.
+    """Words to take from each pattern: a cheapest largest flow.
 
-    Pass k over a pattern costs k - 1 a word.  Nodes: -1 is the start, -2 the end.
+    Pass k over a pattern costs k - 1 a word, the same for all patterns.  So the cheapest
+    flow is had pass by pass: all that the first passes can give, then what second passes
+    add to it, and so on; what is taken from a pattern never shrinks meanwhile.  A source
+    that shares no pattern takes what it wants from its own, at once.
     """
-    graph: dict = {}
-    capacity: dict[tuple, int] = {}
-    price: dict[tuple, int] = {}
-
-    def arc(a, b, k, room, cost) -> None:
-        for x, y, c, z in ((a, b, room, cost), (b, a, 0, -cost)):
-            graph.setdefault(x, []).append((y, k))
-            capacity[x, y, k] = c
-            price[x, y, k] = z
-
-    for p, size in supply.items():
-        for k in range(most):
-            arc(-1, ("p", p), k, size, k)
+    shared = {s for p in supply if len(p) > 1 for s in p}
+    taken = {p: min(quota[p[0]], most * n) if p and p[0] not in shared else 0 for p, n in supply.items()}
+    order = lambda s: (s is None, s or "")  # noqa: E731  so that equally cheap flows are the same in every run
+    patterns = sorted((p for p in supply if p and p[0] in shared), key=lambda p: [order(s) for s in p])
+    number = {s: 2 + len(patterns) + k for k, s in enumerate(sorted((s for s in quota if s in shared), key=order))}
+    net = Network(2 + len(patterns) + len(number))
+    first = [net.arc(0, 2 + k, 0) for k in range(len(patterns))]
+    for k, p in enumerate(patterns):
         for s in p:
-            arc(("p", p), ("s", s), 0, most * size, 0)
-    for s, q in quota.items():
-        arc(("s", s), -2, 0, q, 0)
-    taken = dict.fromkeys(supply, 0)
-    while True:
-        cost, came, queue, queued = {-1: 0}, {}, deque([-1]), {-1}
-        while queue:
-            a = queue.popleft()
-            queued.discard(a)
-            for b, k in graph.get(a, ()):
-                if capacity[a, b, k] > 0 and cost[a] + price[a, b, k] < cost.get(b, float("inf")):
-                    cost[b], came[b] = cost[a] + price[a, b, k], (a, k)
-                    if b not in queued:
-                        queue.append(b)
-                        queued.add(b)
-        if -2 not in cost:
-            return taken
-        path, b = [], -2
-        while b != -1:
-            a, k = came[b]
-            path.append((a, b, k))
-            b = a
-        step = min(capacity[x] for x in path)
-        for a, b, k in path:
-            capacity[a, b, k] -= step
-            capacity[b, a, k] += step
-        taken[path[-1][1][1]] += step
-
-
-def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11, ident: str = "doc_id") -> tuple[DataFrame, dict, dict]:
+            net.arc(2 + k, number[s], most * supply[p])
+    for s, k in number.items():
+        net.arc(k, 1, quota[s])
+    for _ in range(most if patterns else 0):
+        for e, p in zip(first, patterns, strict=True):
+            net.room[e] += supply[p]
+        net.fill(0, 1)
+    return taken | {p: net.room[e ^ 1] for e, p in zip(first, patterns, strict=True)}
+
+
+def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11, ident: str = "doc_id", mark: str = "mark") -> tuple[DataFrame, dict, dict]:
     """docs with `mix_size`, `mix_times` (how often the mix takes the row) and `mix_members`; source sizes; targets.
 
-    members: an array column of the sources a row belongs to.
+    members: an array column of the sources a row belongs to.  mark: a column that tells
+    rows with one id apart, such as a hash of their texts.
     """
-    mark = F.xxhash64(F.lit(seed), F.col(ident))
-    rows = docs.select("*", F.array_sort(F.array_distinct(members)).alias("mix_members"), size.cast("long").alias("mix_size"), mark.alias("mix_order"))
-    rows = rows.withColumn("mix_bucket", F.pmod("mix_order", F.lit(BUCKETS)).cast("int"))
+    order = F.xxhash64(F.lit(seed), F.col(ident), F.col(mark))
+    rows = docs.select("*", F.array_sort(F.array_distinct(members)).alias("mix_members"), size.cast("long").alias("mix_size"), order.alias("mix_order"))
+    # rows without words are never the ones at the edge
+    rows = rows.withColumn("mix_bucket", F.when(F.col("mix_size") == 0, BUCKETS).otherwise(F.pmod("mix_order", F.lit(BUCKETS))).cast("int"))
     cells = cut(rows.groupBy("mix_members", "mix_bucket").agg(F.sum("mix_size").alias("mix_words")))
     supply = {tuple(r[0]): int(r[1]) for r in cells.groupBy("mix_members").agg(F.sum("mix_words")).collect()}
     sizes: dict = {}
@@ -119,7 +162,7 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: Sequence[float]
     plan = cut(plan.join(edge, "mix_members", "left").select("mix_members", "mix_passes", "mix_rest", F.coalesce(F.col("edge.mix_bucket"), F.lit(-1)).alias("mix_edge"), F.coalesce(F.col("edge.upto"), F.lit(0)).alias("mix_upto")))
     placed = rows.join(F.broadcast(plan) if len(supply) <= BROADCAST else plan, "mix_members")
     whole = placed.filter("mix_bucket <> mix_edge").withColumn("mix_times", F.expr("mix_passes + if(mix_bucket < mix_edge, 1, 0)"))
-    inner = f"sum(mix_size) over (partition by mix_members order by mix_order, {ident}, mix_size rows unbounded preceding)"
+    inner = f"sum(mix_size) over (partition by mix_members order by mix_order, {ident}, {mark}, mix_size rows unbounded preceding)"
     part = placed.filter("mix_bucket = mix_edge").withColumn("mix_times", F.expr(f"mix_passes + if(mix_upto + {inner} - mix_size / 2 <= mix_rest, 1, 0)"))
     return whole.unionByName(part).drop("mix_passes", "mix_rest", "mix_edge", "mix_upto", "mix_bucket", "mix_order"), sizes, goal
 
@@ -129,7 +172,7 @@ def words(text: str) -> Column:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    lean = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), words("text").alias("n")))
+    lean = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), words("text").alias("n"), F.xxhash64("text").alias("mark")))
     mixed, sizes, goal = mix(lean, F.array("source"), F.col("n"))
     table = docs.sparkSession.createDataFrame([(s, n, float(goal[s])) for s, n in sizes.items()], "source string, source_size long, target double")
     out = mixed.withColumnRenamed("source", "own").join(table, F.col("own").eqNullSafe(F.col("source")))
@@ -138,6 +181,6 @@ def query(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """docs as the mix takes them: a document that is taken twice is there twice."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("mix_id"), F.col("source").cast("string").alias("mix_source"), words("text").alias("mix_n"))
-    mixed, _, _ = mix(packed, F.array("mix_source"), F.col("mix_n"), ident="mix_id")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("mix_id"), F.col("source").cast("string").alias("mix_source"), words("text").alias("mix_n"), F.xxhash64("text").alias("mix_mark"))
+    mixed, _, _ = mix(packed, F.array("mix_source"), F.col("mix_n"), ident="mix_id", mark="mix_mark")
     return mixed.filter("mix_times > 0").select("row", F.explode(F.expr("sequence(1L, mix_times)"))).select("row.*")
