@@ -41,6 +41,8 @@ CACHE = 600_000
 #: What stands between words that are encoded together, and how many of them.
 MARK = "|"
 TOGETHER = 100
+#: A tokenizer that gives other ids for this without its normalizer and its way of splitting isn't used without them.
+PROBE = "the quick brown fox jumps over the lazy dog | internationalization zzyzx"
 
 
 class Encoder:
@@ -55,9 +57,14 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # small ASCII letters are nothing that is composed or lower-cased, a word of them is one piece, and their bytes stand for themselves
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        if self.bare.encode(PROBE, add_special_tokens=False).ids != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
+            self.bare = self.tokenizer
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.mark = self.tokenizer.token_to_id(f"{MARK}</w>")
@@ -73,17 +80,20 @@ class Encoder:
 
         A mark is a token sequence of one id, which only words that hold the mark can have.
         """
-        plain = [w for w in words if MARK not in w]
-        texts = [f" {MARK} ".join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)]
         found: dict[str, bytes] = {}
-        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            own = plain[k * TOGETHER : (k + 1) * TOGETHER]
-            ids = array(self.code, e.ids)
-            ends = [i for i, x in enumerate(ids) if x == self.mark] + [len(ids)]
-            raw, size, at = ids.tobytes(), self.kind.itemsize, 0
-            for w, end in zip(own, ends, strict=True):
-                found[w] = raw[at * size : end * size]
-                at = end + 1
+        size = self.kind.itemsize
+        plain = [w for w in words if MARK not in w]
+        letters: tuple[list[str], list[str]] = ([], [])
+        for w in plain:
+            letters[w.isascii() and w.isalpha()].append(w)
+        for own, tokenizer in zip(letters, (self.tokenizer, self.bare), strict=True):
+            parts = [own[k : k + TOGETHER] for k in range(0, len(own), TOGETHER)]
+            encoded = tokenizer.encode_batch_fast([f" {MARK} ".join(part) for part in parts], add_special_tokens=False)
+            for part, e in zip(parts, encoded, strict=True):
+                ids = np.array(e.ids, self.kind)
+                raw, ends = ids.tobytes(), np.flatnonzero(ids == self.mark) * size
+                for w, a, b in zip(part, [0, *(ends + size).tolist()], [*ends.tolist(), len(raw)], strict=True):
+                    found[w] = raw[a:b]
         other = [w for w in words if MARK in w]
         found.update(zip(other, self.whole(other), strict=True))
         return [found[w] for w in words]
