@@ -5,7 +5,8 @@ it.  Two texts link when their fingerprints differ in at most `radius` bits.  Eq
 fingerprints are grouped first, so a group of copies of any size is one row in what
 follows.  The distinct fingerprints are spread over tables: the 64 bits are cut into
 blocks, and whichever bits differ, some choice of blocks agrees, so every link is found
-by the table of that choice.  Inside a table rows with the same key are compared many at
+by the table of that choice.  A key that very many share is divided by pieces of the other
+bits, again without loss.  Inside a table rows with the same key are compared many at
 once: bit planes are stored vertically, 64 fingerprints to a word, distances grow in
 carry-save bit counters, and a word is abandoned once all its 64 distances exceed the
 radius.  Each key yields links that span its groups, never all pairs.  Components come
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import LOWER, cut, partitions, slices, text_buffers, unused, word_spans
 
 SEED = 42
+#: A key that more fingerprints have is divided.
+CROWD = 4096
 
 
 def shingle_bits(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
@@ -197,13 +200,38 @@ def spanning_links(table: np.ndarray, key: np.ndarray, fp: np.ndarray, radius: i
     return fp[left], fp[right]
 
 
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def pieces(mask: int, n: int) -> list[int]:
+    """The bits that mask lacks, in n pieces."""
+    bits = [b for b in range(64) if not mask >> b & 1]
+    edges = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << b for b in bits[a:z]) for a, z in zip(edges, edges[1:])]
+
+
+def divided(spread: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """(fp, t, k) with the rows of crowded keys under radius + 1 longer keys each.
+
+    Where two fingerprints agree in a key's blocks they differ in at most radius of the other
+    bits, so of radius + 1 pieces of these one agrees, too: no link is lost.
+    """
+    crowded = spread.groupBy("t", "k").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("t", "k", F.lit(True).alias("crowded"))
+    table = F.array(*[F.array(*[F.lit(signed(m | p)) for p in pieces(m, radius + 1)]) for m in masks])
+    key = lambda t, k: F.struct(t.cast("int").alias("t"), k.alias("k"))
+    longer = F.transform(F.element_at(table, F.col("t") + 1), lambda m, j: key(F.col("t") + (j + 1) * len(masks), F.col("fp").bitwiseAND(m)))
+    own = F.when(F.col("crowded"), longer).otherwise(F.array(key(F.col("t"), F.col("k"))))
+    return spread.join(crowded, ["t", "k"], "left").select("fp", F.explode(own).alias("own")).select("fp", "own.t", "own.k")
+
+
 def links(fps: DataFrame, radius: int, blocks: int = 6) -> DataFrame:
     """(a, b) with a < b: links among the distinct values of fps.fp that connect all pairs within the radius."""
     bounds = [64 * i // blocks for i in range(blocks + 1)]
     part = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(bounds, bounds[1:])]
     masks = [sum(part[i] for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    spread = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("t", "k"))
+    spread = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks])).alias("t", "k"))
+    spread = divided(spread, masks, radius)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 3
@@ -279,10 +307,16 @@ def first_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame
 
 
 def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs with one row for each root of found (doc_id, th, root)."""
+    """docs with one row for each root of found (doc_id, th, root).
+
+    Of rows with equal doc_id and text the one stays whose other columns hash lowest, in
+    every run; columns that can't be hashed (maps) don't tell rows apart.
+    """
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"))).alias("row"))
     doc, th = unused(docs, "keep_doc"), unused(docs, "keep_th")
     keep = first.select(F.col("row.doc_id").alias(doc), F.col("row.th").alias(th))
     kept = docs.withColumn(th, F.xxhash64("text"))
     kept = kept.join(keep, kept.doc_id.eqNullSafe(keep[doc]) & (kept[th] == keep[th]), "left_semi")
-    return kept.dropDuplicates(["doc_id", th]).drop(th)
+    order = F.xxhash64(F.lit(0), *[kept[c] for c, kind in docs.dtypes if c != "text" and "map<" not in kind and kind != "variant"])
+    row = F.struct(*[kept[c] for c in docs.columns])
+    return kept.groupBy(kept.doc_id, kept[th]).agg(F.min_by(row, order).alias(doc)).select(f"{doc}.*")

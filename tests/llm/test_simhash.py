@@ -69,6 +69,66 @@ def test_first_of_each_keeps_clashing_names(spark):
     assert simhash.first_of_each(docs).columns == docs.columns
 
 
+def groups(fps, edges):
+    root = {int(x): int(x) for x in fps}
+
+    def top(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a, b in edges:
+        root[top(a)] = top(b)
+    out = {}
+    for x in root:
+        out.setdefault(top(x), set()).add(x)
+    return {frozenset(g) for g in out.values()}
+
+
+def close_pairs(fps, radius):
+    for i in range(len(fps)):
+        near = np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius
+        yield from ((int(fps[i]), int(x)) for x in fps[i + 1 :][near])
+
+
+def family(n, seed, spread=5):
+    """Fingerprints with equal high bits, some a few bits apart."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 32, n // 4, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 32, (n, spread), dtype=np.uint64)
+    flips[rng.random((n, spread)) < 0.6] = 0
+    return np.unique(np.bitwise_xor.reduce(flips, axis=1) ^ rng.choice(base, n) | np.uint64(0x7123456700000000))
+
+
+def table_of(spark, fps):
+    return spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+
+
+def test_crowded_keys_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 50)
+    fps = np.concatenate([family(1500, 1), family(300, 2) ^ np.uint64(0x00FFFF0000000000)])
+    found = [(a, b) for a, b in simhash.links(table_of(spark, fps), 3).collect()]
+    assert groups(fps, found) == groups(fps, close_pairs(fps, 3))
+    assert all((a ^ b).bit_count() <= 3 for a, b in found)
+
+
+def test_one_key_of_20000(spark):
+    fps = family(24_000, 3)
+    masks = [0xFFFFFFFF << 32]
+    spread = table_of(spark, fps).select("fp", F.lit(0).alias("t"), F.col("fp").bitwiseAND(F.lit(masks[0] - (1 << 64))).alias("k"))
+    sizes = [r[0] for r in simhash.divided(spread, masks, 3).groupBy("t", "k").count().select("count").collect()]
+    assert len(fps) > 20_000 and sum(sizes) == 4 * len(fps) and max(sizes) < 400
+    found = simhash.components(simhash.links(table_of(spark, fps), 3))
+    assert found.count() > 5000
+
+
+def test_of_equal_ids_and_texts_one_row_stays_in_every_run(spark):
+    data = [(1, "a b c d e f", lang, source, None) for lang in ("en", "de", None) for source in ("x", "y", None)] + [(None, "a b c d e f", "en", "x", 1)]
+    docs = table(spark, data).withColumn("more", F.create_map(F.lit("a"), F.lit(1)))
+    stay = {str(simhash.first_of_each(docs.repartition(n)).collect()) for n in (1, 2, 3, 5)}
+    assert len(stay) == 1 and simhash.first_of_each(docs).count() == 1
+
+
 def test_planes_find_all_close_pairs():
     random = np.random.default_rng(1)
     for n in (1, 2, 63, 64, 65, 200):
