@@ -82,7 +82,8 @@ def summed(raw: bytes) -> np.ndarray:
 def encoded(docs: DataFrame, learn: Column) -> DataFrame:
     """A row for each slice: its documents, whether they are learned from, their sizes with the end, a dictionary and numbers into it.
 
-    The table is bucketed by slice, so that joining it by slice doesn't move it.
+    The table is bucketed by slice, so that joining it by slice doesn't move it.  It is in the
+    catalog only while it is written: what was read of it knows its files and buckets.
     """
     kind = docs.schema["doc_id"].dataType
 
@@ -108,7 +109,9 @@ def encoded(docs: DataFrame, learn: Column) -> DataFrame:
     made = docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(make, f"slice long, doc array<{kind.simpleString()}>, train binary, size binary, words binary, ids binary, tokens long, learned long")
     name = f"sievework_{uuid.uuid4().hex}"
     made.write.bucketBy(partitions(spark), "slice").options(path=new_path(spark), compression="none").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files are outside the catalog's folder and stay
+    return table
 
 
 def row_of(table: pa.Table) -> tuple[np.ndarray, ...]:

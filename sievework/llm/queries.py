@@ -73,6 +73,11 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measured(documents(spark, sf_dir), "doc_id").drop("m")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4_suffix_tree that the contract fixes."""
+    return op4_suffix_tree(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 3))
+
+
 def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op11_licenses that the contract fixes."""
     return op11_licenses(spark, sf_dir).drop("labels", "score")
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_licenses": op11_licenses,
         "op12_clusters": op12_clusters,
         "op13_spelling": op13_spelling,
+        "token_counts": token_counts,
         "license_places": license_places,
         "media_payloads": media_payloads,
         "quality_counts": quality_counts,
@@ -183,6 +189,17 @@ SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance, CAST(sum(
  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{last} JOIN c{last} ON cluster = best.c"""
 
 
+#: A space ends each text: no word is one.  Checksums of ids byte by byte.
+TOKENS_SQL = r"""WITH RECURSIVE t(i, v, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM t WHERE k < 8),
+ tab AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM t WHERE k = 8),
+ d AS (SELECT doc_id, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS w,
+  xor(list_reduce([ord(CAST(doc_id AS VARCHAR)[i]) FOR i IN range(1, length(CAST(doc_id AS VARCHAR)) + 1)], lambda a, c: xor(a >> 8, tab[xor(a & 255, c) + 1]), 4294967295), 4294967295) % 7 = 2 AS held_out FROM documents, tab),
+ k AS (SELECT doc_id, held_out, unnest(w) AS t FROM d),
+ c AS MATERIALIZED (SELECT t, count(*) AS c FROM k WHERE NOT held_out GROUP BY t),
+ z AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens, round(sum(log10((coalesce(c, 0) + 1) / (n + v + 1))), 3) AS base_score
+FROM k LEFT JOIN c USING (t), z GROUP BY doc_id, held_out, n, v"""
+
 #: Checksums byte by byte from a table of 256; near words meet where a letter left out makes them equal.
 SPELLING_SQL = r"""WITH RECURSIVE t(i, v, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM t WHERE k < 8),
  tab AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM t WHERE k = 8),
@@ -207,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "op10_line_dedup": OP10_SQL,
         "op12_clusters": _clusters_sql(),
         "op13_spelling": SPELLING_SQL,
+        "token_counts": TOKENS_SQL,
         "license_places": PLACES_SQL,
         "media_payloads": MEDIA_SQL,
         "quality_counts": COUNTS_SQL,
