@@ -14,6 +14,10 @@ algorithm (samples at positions not divisible by three, named by their sorted tr
 recursion on the names, merge of the other suffixes), compares adjacent suffixes' first
 `span` bytes, and finds the smallest doc_id for each string.
 
+A minimizer that very many pieces have, such as a common phrase in ever new surroundings,
+is no one's to sort: its different pieces are taken apart, and each string is dealt by a
+hash of its own, where Spark finds the smallest doc_id.
+
 A null doc_id comes after all others.  Null texts are empty.  Rows that share a doc_id
 don't remove each other's bytes.  Repeated rows are repeated in the result.
 """
@@ -32,7 +36,7 @@ from .common import partitions, slices, stored, text_buffers, window_hashes
 
 SPAN = 50
 ANCHOR = 20
-#: Suffixes that a task sorts at once; a minimizer's pieces are never divided.
+#: Suffixes that a task sorts at once; a minimizer's pieces aren't divided, and there are at most a BLOCK of bytes of them.
 BLOCK = 1_000_000
 LAST = (1 << 63) - 1
 LOW = np.uint64(0xFFFFFFFF)
@@ -232,8 +236,31 @@ def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataF
     return texts.join(lists, "t1").select("t1", "t2", "d", "text", "shared").mapInArrow(make, "t1 long, t2 int, d long, start int, mz long, piece binary")
 
 
+def crowded(found: DataFrame, block: int) -> DataFrame:
+    """(mz): minimizers whose pieces, equal ones included, have more bytes than a block."""
+    return stored(found.groupBy("mz").agg(F.sum(F.octet_length("piece")).alias("n")).filter(F.col("n") > block).select("mz"))
+
+
+def owners_apart(found: DataFrame, span: int) -> DataFrame:
+    """Like owners(), string by string: for minimizers that many pieces have."""
+    distinct = found.groupBy("mz", "piece").agg(F.min("d").alias("d"))
+    each = F.transform(F.sequence(F.lit(1), F.octet_length("piece") - (span - 1)), lambda i: F.substring("piece", i, F.lit(span)))
+    strings = distinct.select("mz", F.xxhash64("piece").alias("ph"), "d", F.posexplode(F.transform(each, lambda s: F.struct(F.xxhash64(s).alias("s1"), F.hash(s).alias("s2")))).alias("skip", "s"))
+    strings = strings.select("mz", "ph", "d", "skip", "s.s1", "s.s2")
+    least = strings.groupBy("mz", "s1", "s2").agg(F.min("d").alias("least"))
+    run = F.struct("skip", F.lit(1).alias("n"), "least")
+    return strings.join(least, ["mz", "s1", "s2"]).groupBy("mz", "ph").agg(F.collect_list(run).alias("runs"))  # as many as the piece has strings
+
+
 def owners(found: DataFrame, span: int, block: int) -> DataFrame:
     """(mz, ph, runs): for each different piece the smallest doc_id of its strings, by runs of them."""
+    many = crowded(found, block)
+    apart = owners_apart(found.join(many, "mz", "left_semi"), span)
+    return owners_sorted(found.join(many, "mz", "left_anti"), span, block).unionByName(apart)
+
+
+def owners_sorted(found: DataFrame, span: int, block: int) -> DataFrame:
+    """Like owners(), by a suffix sort in each partition."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []

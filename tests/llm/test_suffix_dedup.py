@@ -4,6 +4,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sievework.llm import suffix_dedup
 from tests.llm.cases import empty, rows, table
@@ -67,5 +68,22 @@ def test_small_blocks(spark):
     assert found == expected(data)
 
 
+def test_strings_of_crowded_minimizers_apart(spark):
+    """A phrase in ever new surroundings, some of which repeat, and runs of one letter."""
+    rng = random.Random(4)
+    phrase = "the very same twenty letters"
+    around = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(300)]
+    texts = [rng.choice(around) + phrase + rng.choice(around) + "-" * rng.choice([0, 60, 200]) for _ in range(400)]
+    data = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    rows = suffix_dedup.marked(table(spark, data))
+    texts = rows.groupBy("t1", "t2").agg(F.min("d").alias("d"), F.first("text").alias("text"))
+    found = suffix_dedup.pieces(texts, suffix_dedup.shared_minimizers(rows, 50, 20, 3), 50, 20)
+    assert 0 < suffix_dedup.crowded(found, 5000).count() < found.select("mz").distinct().count()
+    both = [sorted((r.mz, r.ph, s, r.runs[k].least) for r in x.collect() for k in range(len(r.runs)) for s in range(r.runs[k].skip, r.runs[k].skip + r.runs[k].n)) for x in (suffix_dedup.owners_apart(found, 50), suffix_dedup.owners_sorted(found, 50, 10**6))]
+    assert both[0] == both[1]
+    out = sorted((tuple(r) for r in suffix_dedup.deduped(table(spark, data), block=5000).collect()), key=str)
+    assert out == expected(data)
+
+
 def test_empty(spark):
     assert suffix_dedup.query(empty(spark)).count() == 0
