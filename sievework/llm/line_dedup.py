@@ -15,6 +15,10 @@ meet.  Each slice of documents sends the hashes of its distinct lines' segments
 as packed arrays; a line that is everywhere is sent once a slice.  Candidates are then
 verified on their texts by a banded bit-parallel edit distance, many pairs in a step.
 
+A line goes for one earlier line, however many there are.  So of a key that very many lines
+share, such as a template's, all are compared with the FIRST earliest of them only; what
+that leaves undecided is compared with the whole key afterwards.
+
 A null doc_id comes after all others.  A null text stays null.  Repeated rows and rows
 that share a doc_id don't remove each other's equal lines at the same place.
 """
@@ -28,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BASE, BYTE_CODE, SPACE, cut, mix, partitions, powers, slices, stored, text_buffers, unused
 
@@ -38,6 +43,10 @@ HOT = 1 / 1000
 #: Bits of the filter that tells candidates' lines from the rest.
 FILTER = 1 << 24
 CHUNK = 1 << 19
+PACKED = ("key", "line", "sign", "when")
+#: Lines of a key beyond which its FIRST earliest stand for it at first.
+CROWD = 2000
+FIRST = 32
 BACK = pow(BASE, -1, 1 << 64)
 _backs = np.ones(1, np.uint64)
 
@@ -105,20 +114,26 @@ def keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, line: np.nda
 
 
 def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
-    """(bucket, ikey, iline, isign, pkey, pline, psign): keys of 32 bits, lines and their signatures of 64, packed, of a slice for a bucket."""
+    """(bucket, ikey, iline, isign, iwhen, pkey, pline, psign, pwhen), packed, of a slice for a bucket.
+
+    Keys have 32 bits, lines and their signatures 64; when: about where the line stands first,
+    the doc_id as a short floating-point number (0 if it is none).
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             data, offsets = text_buffers(b.column("text"))
-            starts, ends, _, _ = line_spans(data, offsets)
+            starts, ends, row, _ = line_spans(data, offsets)
             use = ends - starts >= NEAR
             starts, ends = starts[use], ends[use]
             if not len(starts):
                 continue
             line, _ = digests(data.tobytes(), starts, ends)
-            line, first = np.unique(line, return_index=True)
+            line, first, back = np.unique(line, return_index=True, return_inverse=True)
+            when = np.full(len(line), np.inf)
+            np.minimum.at(when, back, b.column("doc_when").to_numpy(zero_copy_only=False)[row[use]])
             order = np.argsort(starts[first])
-            line, starts, ends = line[order], starts[first][order], ends[first][order]
+            line, starts, ends, when = line[order], starts[first][order], ends[first][order], when[order].astype("<f4")
             sign = signatures(data, starts, ends)
             group = (starts // CHUNK).astype(int)
             found: list = [[], []]
@@ -133,11 +148,13 @@ def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
                 order = np.argsort(key)
                 key, of = key[order], of[order]
                 edge = np.searchsorted((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
-                for x in (key.astype("<u4"), line[of], sign[of]):
+                for x in (key.astype("<u4"), line[of], sign[of], when[of]):
                     blobs.append(pa.array([x[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)], pa.binary()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *blobs], ["bucket", "ikey", "iline", "isign", "pkey", "pline", "psign"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *blobs], ["bucket", *(side + c for side in "ip" for c in PACKED)])
 
-    return docs.select("text").mapInArrow(make, "bucket int, ikey binary, iline binary, isign binary, pkey binary, pline binary, psign binary")
+    number = isinstance(docs.schema["doc_id"].dataType, T.NumericType)
+    when = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("inf"))) if number else F.lit(0.0)
+    return docs.select("text", when.alias("doc_when")).mapInArrow(make, ", ".join(["bucket int", *(f"{side}{c} binary" for side in "ip" for c in PACKED)]))
 
 
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -159,29 +176,53 @@ def alike(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
 
 
 def distinct_pairs(key: np.ndarray, line: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.lexsort((line, key))
+    """Each key and line once, with the row that is least by the last column."""
+    order = np.lexsort((*more[-1:], line, key))
     key, line = key[order], line[order]
     new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])][: len(key)]
     return key[new], line[new], *(m[order][new] for m in more)
 
 
-def candidates(blobs: DataFrame, buckets: int, limit: int) -> DataFrame:
-    """(a, b) with a < b: lines where a probe of one finds a segment of the other, and whose signatures are alike."""
+def met(index: tuple[np.ndarray, ...], probe: tuple[np.ndarray, ...], limit: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) with a < b: probes and the first `most` lines of their keys, where signatures are alike. The index is sorted by key."""
+    (ikey, iline, isign, _), (pkey, pline, psign, _) = index, probe
+    low = np.searchsorted(ikey, pkey, side="left")
+    n = np.minimum(np.searchsorted(ikey, pkey, side="right") - low, most)
+    out: list = [(pline[:0], pline[:0])]
+    for part in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // (1 << 20))) + 1):
+        at = np.repeat(low[part] - (np.cumsum(n[part]) - n[part]), n[part]) + np.arange(n[part].sum())
+        b = np.repeat(pline[part], n[part])
+        near = (iline[at] != b) & alike(isign[at], np.repeat(psign[part], n[part]), limit)
+        a, b = iline[at][near], b[near]
+        out.append(distinct_pairs(np.minimum(a, b), np.maximum(a, b)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def candidates(blobs: DataFrame, buckets: int, limit: int, undecided=None) -> DataFrame:
+    """(a, b) with a < b: lines where a probe of one finds a segment of the other, and whose signatures are alike.
+
+    Lines of crowded keys are compared with the earliest ones only, and named by rows (a, a).
+    With undecided, a filter of lines, instead: the pairs of crowded keys with such a line.
+    """
+    crowd, first = CROWD, FIRST
 
     def match(table: pa.Table) -> pa.Table:
-        unpacked = [[np.frombuffer(b"".join(table.column(side + c).to_pylist()), "<u4" if c == "key" else "<u8") for c in ("key", "line", "sign")] for side in "ip"]
-        (ikey, iline, isign), (pkey, pline, psign) = (distinct_pairs(*x) for x in unpacked)
-        low, high = np.searchsorted(ikey, pkey, side="left"), np.searchsorted(ikey, pkey, side="right")
-        some = (high > low) & ~((high == low + 1) & (iline[np.minimum(low, max(len(iline) - 1, 0))] == pline) if len(iline) else False)
-        low, n, pline, psign = low[some], (high - low)[some], pline[some], psign[some]
-        out: list = []
-        for part in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // (1 << 20))) + 1):
-            at = np.repeat(low[part] - (np.cumsum(n[part]) - n[part]), n[part]) + np.arange(n[part].sum())
-            near = alike(isign[at], np.repeat(psign[part], n[part]), limit)
-            a, b = iline[at][near], np.repeat(pline[part], n[part])[near]
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            out.append(distinct_pairs(a[a != b], b[a != b]))
-        a, b = (np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
+        kinds = {"key": "<u4", "line": "<u8", "sign": "<u8", "when": "<f4"}
+        index, probe = (distinct_pairs(*[np.frombuffer(b"".join(table.column(side + c).to_pylist()), kinds[c]) for c in PACKED]) for side in "ip")
+        order = np.lexsort((index[3], index[0]))
+        index = tuple(x[order] for x in index)
+        n = np.searchsorted(index[0], probe[0], side="right") - np.searchsorted(index[0], probe[0], side="left")
+        many = n > crowd
+        few, crowded = tuple(x[(n > 0) & ~many] for x in probe), tuple(x[many] for x in probe)
+        inside = np.isin(index[0], crowded[0])
+        own = tuple(x[inside] for x in index)  # lines of crowded keys
+        if undecided is None:
+            named = np.unique(np.r_[crowded[1], own[1]])
+            parts = [met(index, few, limit, crowd), met(own, crowded, limit, first), (named, named)]
+        else:
+            open_ = lambda x: tuple(c[passing(undecided.value, x[1])] for c in x)
+            parts = [met(own, open_(crowded), limit, len(own[0])), met(open_(own), crowded, limit, len(own[0]))]
+        a, b = (np.concatenate(x).view(np.int64) for x in zip(*parts, strict=True))
         return pa.table({"a": a, "b": b})
 
     return blobs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(match, "a long, b long").distinct()
@@ -204,17 +245,26 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(make, f"h1 long, h2 long, doc_id {kind}, th long, line_no int")
 
 
-def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(h1, h2, line) for the lines in pairs, and some others that a filter of fixed size lets through."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+def filtered(ids: DataFrame):
+    """A filter of fixed size, broadcast: a bit for each h of ids, and so for some other lines."""
     bit = F.pmod("h", F.lit(FILTER))
     words = ids.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {FILTER}) & 31 as int))")).alias("bits")).toArrow().to_pandas()  # FILTER / 32 rows at most
     table = np.zeros(FILTER // 32, np.uint32)
     table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    held = docs.sparkSession.sparkContext.broadcast(table)
+    return ids.sparkSession.sparkContext.broadcast(table)
+
+
+def passing(bits: np.ndarray, line: np.ndarray) -> np.ndarray:
+    at = line.view(np.int64) % FILTER
+    return (bits[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
+def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(h1, h2, line) for the lines in pairs, and some others that a filter of fixed size lets through."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    held = filtered(ids)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
         for b in slices(batches):
             data, offsets = text_buffers(b.column("text"))
             starts, ends, _, _ = line_spans(data, offsets)
@@ -222,8 +272,7 @@ def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             starts, ends = starts[use], ends[use]
             raw = data.tobytes()
             h1, h2 = digests(raw, starts, ends)
-            at = (h1.view(np.int64) % FILTER).astype(np.int64)
-            new = np.flatnonzero(bits[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1))
+            new = np.flatnonzero(passing(held.value, h1))
             new = new[np.unique(h1[new], return_index=True)[1]]
             yield pa.RecordBatch.from_arrays([pa.array(h1[new].view(np.int64)), pa.array(h2[new].view(np.int64)), pa.array([raw[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], pa.binary())], ["h1", "h2", "line"])
 
@@ -293,10 +342,11 @@ def plain_distance(a: bytes, b: bytes) -> int:
     return row[-1]
 
 
-def links(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(a1, a2, b1, b2): different lines at most `limit` edits apart, once each."""
+def links(docs: DataFrame, limit: int = LIMIT, undecided=None) -> tuple[DataFrame, DataFrame]:
+    """(a1, a2, b1, b2): different lines at most `limit` edits apart, once each; and (h1), the lines of crowded keys (see candidates)."""
     buckets = partitions(docs.sparkSession)
-    pairs = cut(candidates(segment_blobs(docs, limit, buckets), buckets, limit))
+    found = cut(candidates(segment_blobs(docs, limit, buckets), buckets, limit, undecided))
+    pairs, many = found.filter("a <> b"), found.filter("a = b").select(F.col("a").alias("h1"))
     texts = cut(wanted_texts(docs, pairs))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +358,14 @@ def links(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("right"))
     both = pairs.join(a, F.col("a") == F.col("a1")).join(b, F.col("b") == F.col("b1"))
     both = both.filter(F.abs(F.length("left") - F.length("right")) <= limit)
-    return both.select("a1", "a2", "b1", "b2", "left", "right").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long")
+    return cut(both.select("a1", "a2", "b1", "b2", "left", "right").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long")), many
+
+
+def earlier(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(h1, h2, other): where the earliest of a line's near lines stands first."""
+    both = pairs.unionByName(pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
+    other = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other"))
+    return both.join(other, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"))
 
 
 def removals(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -316,10 +373,14 @@ def removals(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     spots = stored(occurrences(docs))
     place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("line_no"))
     firsts = cut(spots.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")))
-    pairs = cut(links(docs, limit))
-    both = pairs.unionByName(pairs.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
-    other = firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other"))
-    near = both.join(other, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"))
+    pairs, many = links(docs, limit)
+    if not many.isEmpty():
+        gone = firsts.join(earlier(pairs, firsts), ["h1", "h2"]).filter("other < first").select("h1")
+        left = cut(many.join(gone, "h1", "left_anti"))
+        if not left.isEmpty():
+            more, _ = links(docs, limit, filtered(left.withColumnRenamed("h1", "h")))
+            pairs = pairs.unionByName(more)
+    near = earlier(pairs, firsts)
     bad = cut(firsts.join(near, ["h1", "h2"], "left").filter("n > 1 or other < first").select("h1", "h2", "n", F.least("first", "other").alias("first")))
     most = max(1000, int((firsts.agg(F.sum("n")).first()[0] or 0) * HOT))
     hot = F.broadcast(bad.filter(F.col("n") > most).drop("n"))  # fewer than 1 / HOT rows

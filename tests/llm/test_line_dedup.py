@@ -1,9 +1,12 @@
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sievework.llm import line_dedup
 from sievework.llm.common import WORD
@@ -85,3 +88,43 @@ def test_one_line_in_20000_documents(spark):
     data = [(i, f"the same line everywhere\n{hashlib.sha256(str(i).encode()).hexdigest()}", "en", "s", None) for i in range(20_000)]
     out = line_dedup.removals(table(spark, data)).collect()
     assert len(out) == 19_999 and all(0 in r.gone for r in out)
+
+
+def template(rng, n, digits):
+    """Lines of one template with numbers in it, in documents of a few lines."""
+    lines = [f"the price of item {rng.randrange(10**digits):0{digits}d} in our store was set by the keeper of the store" for _ in range(n)]
+    return [(i, "\n".join(lines[at : at + 4]), "en", "s", None) for i, at in enumerate(range(0, n, 4))]
+
+
+@pytest.mark.parametrize(("crowd", "first", "digits"), [(20, 1, 4), (20, 3, 6), (5, 2, 9)])
+def test_crowded_keys_give_the_same(spark, monkeypatch, crowd, first, digits):
+    data = template(random.Random(crowd + digits), 200, digits) + [(r[0] + 1000, *r[1:]) for r in planted()] + [(None, template(random.Random(2), 4, digits)[0][1], None, None, None)]
+    random.Random(1).shuffle(data)
+    wanted = expected(data)
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "FIRST", first)
+    docs = table(spark, data)
+    assert not line_dedup.links(docs)[1].isEmpty()
+    assert sorted((tuple(r) for r in line_dedup.query(docs).collect()), key=str) == wanted
+    named = docs.withColumn("doc_id", F.format_string("%06d", "doc_id"))  # ids that aren't numbers
+    found = {(r.n_lines, r.n_removed, r.kept_sha256) for r in line_dedup.query(named.filter("doc_id <> '  null'")).collect()}
+    assert found >= {r[1:] for r in wanted if r[0] is not None}
+
+
+def test_20000_lines_of_one_template(spark):
+    rng = random.Random(7)
+    data = template(rng, 20_000, 4)
+    began = time.perf_counter()
+    found = {r.doc_id: r for r in line_dedup.query(table(spark, data)).collect()}
+    assert time.perf_counter() - began < 300
+    assert sum(r.n_lines for r in found.values()) == 20_000
+    # a code of four digits within two of an earlier one goes, and soon all codes have one
+    seen: list[str] = []
+    for i, text, *_ in data[:200]:
+        gone = 0
+        for line in text.split("\n"):
+            code = line[18:22]
+            gone += any(line_dedup.plain_distance(code.encode(), c.encode()) <= 2 for c in seen)
+            seen.append(code)
+        assert found[i].n_removed == gone
+    assert all(found[i].n_removed == 4 for i in range(2000, 5000))
