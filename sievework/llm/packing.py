@@ -19,6 +19,7 @@ Null and empty texts are the end id alone.  Repeated rows are packed once each.
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 import zlib
 from array import array
@@ -41,8 +42,10 @@ CACHE = 600_000
 #: What stands between words that are encoded together, and how many of them.
 MARK = "|"
 TOGETHER = 100
-#: A tokenizer that gives other ids for this without its normalizer and its way of splitting isn't used without them.
-PROBE = "the quick brown fox jumps over the lazy dog | internationalization zzyzx"
+#: Marks that may end a word; an apostrophe may begin a piece of letters.
+TAIL = string.punctuation.replace("'", "").replace(MARK, "")
+#: A tokenizer that gives other ids for these without its normalizer and its way of splitting isn't used without them.
+PROBE = ("the quick brown fox jumps over the lazy dog | internationalization zzyzx", "größer été naïve œuvre ñandú Привет漢字 | straße".lower())
 
 
 class Encoder:
@@ -57,20 +60,28 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # small ASCII letters are nothing that is composed or lower-cased, a word of them is one piece, and their bytes stand for themselves
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
-        if self.bare.encode(PROBE, add_special_tokens=False).ids != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
-            self.bare = self.tokenizer
+        # small letters, composed, are nothing to normalize, and a word of them is one piece; ASCII bytes stand for themselves
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.ascii = self.bare(pre_tokenizers.WhitespaceSplit(), PROBE[0])
+        self.letters = self.bare(pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise]), PROBE[1])
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.mark = self.tokenizer.token_to_id(f"{MARK}</w>")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def bare(self, splits, probe: str):
+        """A tokenizer with the same model that only splits; the whole one, if they differ on the probe."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer(self.tokenizer.model)
+        out.pre_tokenizer = splits
+        one, other = (t.encode(probe, add_special_tokens=False).ids for t in (out, self.tokenizer))
+        return out if one == other else self.tokenizer
+
     def whole(self, texts: list[str]) -> list[bytes]:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -83,10 +94,10 @@ class Encoder:
         found: dict[str, bytes] = {}
         size = self.kind.itemsize
         plain = [w for w in words if MARK not in w]
-        letters: tuple[list[str], list[str]] = ([], [])
+        kinds: tuple[list[str], ...] = ([], [], [])
         for w in plain:
-            letters[w.isascii() and w.isalpha()].append(w)
-        for own, tokenizer in zip(letters, (self.tokenizer, self.bare), strict=True):
+            kinds[w.isalpha() and 1 + w.isascii()].append(w)
+        for own, tokenizer in zip(kinds, (self.tokenizer, self.letters, self.ascii), strict=True):
             parts = [own[k : k + TOGETHER] for k in range(0, len(own), TOGETHER)]
             encoded = tokenizer.encode_batch_fast([f" {MARK} ".join(part) for part in parts], add_special_tokens=False)
             for part, e in zip(parts, encoded, strict=True):
@@ -107,19 +118,24 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Sees to it that all these words are known.
 
-        A comma or stop after a letter is a token sequence of its own, so a word that ends
-        in one is known if the rest is.
+        Marks after a letter are a token sequence of their own, so a word that ends in some is
+        known if the rest and they are.
         """
         known, older = self.known, self.older
         again = words & older.keys()
         known.update((w, older[w]) for w in again)
-        marked = [w for w in words - again if w[-1] in ",." and len(w) > 1 and w[-2].isalpha()]
-        bare = {w[:-1] for w in marked}.difference(known)  # a set's `-` would walk all of known
-        again = bare & older.keys()
+        marked: dict[str, tuple[str, str]] = {}
+        for w in words - again:
+            if not w.isalpha():
+                rest = w.rstrip(TAIL)
+                if rest and len(rest) < len(w) and rest[-1].isalpha():
+                    marked[w] = (rest, w[len(rest) :])
+        parts = {x for both in marked.values() for x in both}.difference(known)  # a set's `-` would walk all of known
+        again = parts & older.keys()
         known.update((w, older[w]) for w in again)
-        new = list(words.difference(known, marked) | bare.difference(known) | {",", "."}.difference(known))
+        new = list(words.difference(known, marked) | parts.difference(known))
         known.update(zip(new, self.single(new) if self.mark is not None else self.whole(new), strict=True))
-        known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
+        known.update((w, known[rest] + known[tail]) for w, (rest, tail) in marked.items())
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""

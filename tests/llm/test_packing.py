@@ -53,6 +53,7 @@ def test_encoder_agrees_with_the_tokenizer():
     encoder = packing.Encoder(packing.default_path())
     texts = ["", "It's 100% don't stop x", "ΣΟΣ Σ", "été İstanbul", "a\x1cb <|endoftext|> c", "ab!!cd ...x_y", "a|b | || |, x|. c|", " ".join(f"w{k}q{k * k}, z{k}." for k in range(250)), "\U0001f600漢字 ẞ"]
     texts += ["dont d s ll ve " + " ".join(a + b for a in "etaoinsr" for b in ("ing", "tion's", "ly.", "né", "2d", "ness")), "lowercase UPPERCASE MixedCase naïve coöperate d'accord", "e\u0301te\u0301 o\u0308l", "a" * 5000]
+    texts += [" ".join(w + t for w in ("naïve", "onering", "don't", "x2", "2x", "привет", "漢字") for t in (".", ",", "***", ".&&&", "!?", "'.", ".'", "%%%,", "|.", "-", "\u2026", "\u2014.", "1.", "'s.")), "... , *** - ' '' .' '. |", "ǆ ǅ Ǆ ŉ ﬁ ª º ᾳ ᾼ"]
     for text, ids in zip(texts, encoder.ids(texts), strict=True):
         assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
