@@ -161,7 +161,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+GOLDEN = 0x9E3779B97F4A7C15
+BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(GOLDEN))
 BASE = 0xD6E8FEB86659FD93
 _powers = np.ones(1, np.uint64)
 

@@ -1,14 +1,15 @@
 """Line dedup by a segment-partition edit join.
 
-A line is removed if the same line, or one within `limit` edits of it, stands earlier:
-in a document with a smaller doc_id, or further up in the same one.  All lines are judged
-on the input.  Edits are insertions, deletions and substitutions of UTF-8 bytes.  Lines
-without a word always stay; lines of fewer than NEAR bytes go only for equal ones, since
-two edits make another word of a short one.
+A line is removed if the same line, or one within a few edits of it, stands earlier: in a
+document with a smaller doc_id, or further up in the same one.  All lines are judged on the
+input.  Edits are insertions, deletions and substitutions of code points: two for lines of
+48 or more, one from 24 on (by the shorter line); shorter ones go only for equal ones, since
+an edit makes another word of them.  Lines without a word always stay.  (Bytes that aren't
+UTF-8 count one by one.)
 
 If two lines differ by at most k edits and one is cut into k + 1 segments, a segment
 occurs unchanged in the other, at a place that its length and the difference in length
-narrow down.  k edits also change at most 2 k counts of byte classes by one, so pairs
+narrow down.  k edits also change at most 2 k counts of classes of code points by one, so pairs
 that share a segment by chance or by copying, but differ elsewhere, mostly end where they
 meet.  Each slice of documents sends the hashes of its distinct lines' segments
 (the index) and of the substrings to look up (the probes) to the buckets that hold them,
@@ -34,10 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE, BYTE_CODE, SPACE, cut, mix, partitions, powers, slices, stored, text_buffers, unused
+from .common import BASE, BYTE_CODE, GOLDEN, SPACE, cut, mix, partitions, powers, slices, stored, text_buffers, unused
 
-LIMIT = 2
-NEAR = 48
+#: Edits that lines of so many code points or more may differ by, the longest first.
+EDITS = ((48, 2), (24, 1))
+NEAR = min(n for n, _ in EDITS)
+MOST = max(k for _, k in EDITS)
 #: A line of more than this share of all lines is matched with its verdict apart from the rest; there are fewer than 1 / HOT such lines.
 HOT = 1 / 1000
 #: Bits of the filter that tells candidates' lines from the rest.
@@ -82,6 +85,36 @@ def digests(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarra
     return pairs[:, 0], pairs[:, 1]
 
 
+def points(raw: bytes) -> np.ndarray:
+    """The code points of a text; its bytes, if it isn't UTF-8."""
+    if raw.isascii():
+        return np.frombuffer(raw, np.uint8)
+    try:
+        return np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+    except UnicodeDecodeError:
+        return np.frombuffer(raw, np.uint8)
+
+
+def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random number for each code point of data; where the spans start and end in them."""
+    point = points(data.tobytes())
+    if point.itemsize == 1:
+        return BYTE_CODE[point], starts, ends
+    code = BYTE_CODE[np.minimum(point, 255)]
+    wide = np.flatnonzero(point > 255)
+    code[wide] = mix((point[wide].astype(np.uint64) + np.uint64(1)) * np.uint64(GOLDEN))
+    place = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+    return code, place[starts], place[ends]
+
+
+def allowed(length: np.ndarray) -> np.ndarray:
+    """How many edits lines of these lengths may differ by from longer ones."""
+    out = np.zeros(len(length), np.int64)
+    for least, k in reversed(EDITS):
+        out[length >= least] = k
+    return out
+
+
 def segments(length: np.ndarray, i: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and length of segment i of limit + 1 of lines of these lengths; the later ones are longer by one."""
     size, longer = length // (limit + 1), length % (limit + 1)
@@ -89,31 +122,34 @@ def segments(length: np.ndarray, i: int, limit: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(i - plain, 0), size + (i >= plain)
 
 
-def keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, line: np.ndarray, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """(key, line) of the index and of the probes of lines in data."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * powers(len(data)), out=sums[1:])
-    inverse = backs(len(data) + 1)
+def keys(code: np.ndarray, starts: np.ndarray, lengths: np.ndarray, line: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """(key, line) of the index and of the probes of lines in code; the shorter line of a pair is the one in the index."""
+    sums = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(code * powers(len(code)), out=sums[1:])
+    inverse = backs(len(code) + 1)
 
     def key(at: np.ndarray, size: np.ndarray, length: np.ndarray, i: int) -> np.ndarray:
         return mix((sums[at + size] - sums[at]) * inverse[at] + mix(length.astype(np.uint64) * np.uint64(64) + np.uint64(i)))
 
     index, probes = [], []
-    for i in range(limit + 1):
-        at, size = segments(lengths, i, limit)
-        index.append((key(starts + at, size, lengths, i), line))
-        for shorter in range(limit + 1):
-            other = lengths - shorter
-            at, size = segments(other, i, limit)
-            low = max(-i, shorter - (limit - i))
-            high = min(i, shorter + (limit - i))
-            for move in range(low, high + 1):
-                fits = (at + move >= 0) & (at + move + size <= lengths)
-                probes.append((key((starts + at + move)[fits], size[fits], other[fits], i), line[fits]))
+    for shorter in range(MOST + 1):
+        limits = allowed(lengths - shorter)
+        for limit in range(max(shorter, 1), MOST + 1):
+            own = np.flatnonzero(limits == limit)
+            other, begin = lengths[own] - shorter, starts[own]
+            for i in range(limit + 1):
+                at, size = segments(other, i, limit)
+                if not shorter:
+                    index.append((key(begin + at, size, other, i), line[own]))
+                low = max(-i, shorter - (limit - i))
+                high = min(i, shorter + (limit - i))
+                for move in range(low, high + 1):
+                    fits = (at + move >= 0) & (at + move + size <= lengths[own])
+                    probes.append((key((begin + at + move)[fits], size[fits], other[fits], i), line[own][fits]))
     return tuple(tuple(np.concatenate(x) for x in zip(*part, strict=True)) for part in (index, probes))
 
 
-def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
+def segment_blobs(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, ikey, iline, isign, iwhen, pkey, pline, psign, pwhen), packed, of a slice for a bucket.
 
     Keys have 32 bits, lines and their signatures 64; when: about where the line stands first,
@@ -124,23 +160,24 @@ def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
         for b in slices(batches):
             data, offsets = text_buffers(b.column("text"))
             starts, ends, row, _ = line_spans(data, offsets)
-            use = ends - starts >= NEAR
-            starts, ends = starts[use], ends[use]
-            if not len(starts):
+            code, begin, close = spelled(data, starts, ends)
+            use = close - begin >= NEAR
+            if not use.any():
                 continue
-            line, _ = digests(data.tobytes(), starts, ends)
+            line, _ = digests(data.tobytes(), starts[use], ends[use])
+            starts, ends = begin[use], close[use]
             line, first, back = np.unique(line, return_index=True, return_inverse=True)
             when = np.full(len(line), np.inf)
             np.minimum.at(when, back, b.column("doc_when").to_numpy(zero_copy_only=False)[row[use]])
             order = np.argsort(starts[first])
             line, starts, ends, when = line[order], starts[first][order], ends[first][order], when[order].astype("<f4")
-            sign = signatures(data, starts, ends)
+            sign = signatures(code, starts, ends)
             group = (starts // CHUNK).astype(int)
             found: list = [[], []]
             for g in np.unique(group):  # lines of about CHUNK bytes at once
                 own = group == g
                 low = int(starts[own].min())
-                for out, part in zip(found, keys(data[low : int(ends[own].max())], starts[own] - low, (ends - starts)[own], np.flatnonzero(own), limit), strict=True):
+                for out, part in zip(found, keys(code[low : int(ends[own].max())], starts[own] - low, (ends - starts)[own], np.flatnonzero(own)), strict=True):
                     out.append(part)
             blobs = []
             for part in found:
@@ -157,22 +194,24 @@ def segment_blobs(docs: DataFrame, limit: int, buckets: int) -> DataFrame:
     return docs.select("text", when.alias("doc_when")).mapInArrow(make, ", ".join(["bucket int", *(f"{side}{c} binary" for side in "ip" for c in PACKED)]))
 
 
-def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """How often each of 16 classes of bytes occurs in a line, modulo 16, in four bits each."""
+def signatures(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How often each of 15 classes of code points occurs in a line, modulo 16, in four bits each; then how many edits the line allows for."""
     lengths = ends - starts
     row = np.repeat(np.arange(len(starts)), lengths)
     at = np.arange(len(row)) - (np.cumsum(lengths) - lengths)[row] + starts[row]
-    counts = np.bincount(row * 16 + (BYTE_CODE[data[at]] >> np.uint64(60)).astype(np.int64), minlength=16 * len(starts)).reshape(-1, 16)
+    counts = np.bincount(row * 16 + (code[at] >> np.uint64(60)).astype(np.int64), minlength=16 * len(starts)).reshape(-1, 16)
+    counts[:, 0] += counts[:, 15]
+    counts[:, 15] = allowed(lengths)
     return ((counts & 15).astype(np.uint64) << (4 * np.arange(16)).astype(np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def alike(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """Whether signatures allow for at most limit edits."""
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether signatures of shorter lines a and longer ones b allow for as many edits as a does."""
     total = np.zeros(len(a), np.int64)
-    for k in range(16):
+    for k in range(15):
         x = ((a >> np.uint64(4 * k)) - (b >> np.uint64(4 * k))).astype(np.int64) & 15
         total += np.minimum(x, 16 - x)
-    return total <= 2 * limit
+    return total <= 2 * (a >> np.uint64(60)).astype(np.int64)
 
 
 def distinct_pairs(key: np.ndarray, line: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -183,7 +222,7 @@ def distinct_pairs(key: np.ndarray, line: np.ndarray, *more: np.ndarray) -> tupl
     return key[new], line[new], *(m[order][new] for m in more)
 
 
-def met(index: tuple[np.ndarray, ...], probe: tuple[np.ndarray, ...], limit: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+def met(index: tuple[np.ndarray, ...], probe: tuple[np.ndarray, ...], most: int) -> tuple[np.ndarray, np.ndarray]:
     """(a, b) with a < b: probes and the first `most` lines of their keys, where signatures are alike. The index is sorted by key."""
     (ikey, iline, isign, _), (pkey, pline, psign, _) = index, probe
     low = np.searchsorted(ikey, pkey, side="left")
@@ -192,13 +231,13 @@ def met(index: tuple[np.ndarray, ...], probe: tuple[np.ndarray, ...], limit: int
     for part in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // (1 << 20))) + 1):
         at = np.repeat(low[part] - (np.cumsum(n[part]) - n[part]), n[part]) + np.arange(n[part].sum())
         b = np.repeat(pline[part], n[part])
-        near = (iline[at] != b) & alike(isign[at], np.repeat(psign[part], n[part]), limit)
+        near = (iline[at] != b) & alike(isign[at], np.repeat(psign[part], n[part]))
         a, b = iline[at][near], b[near]
         out.append(distinct_pairs(np.minimum(a, b), np.maximum(a, b)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def candidates(blobs: DataFrame, buckets: int, limit: int, undecided=None) -> DataFrame:
+def candidates(blobs: DataFrame, buckets: int, undecided=None) -> DataFrame:
     """(a, b) with a < b: lines where a probe of one finds a segment of the other, and whose signatures are alike.
 
     Lines of crowded keys are compared with the earliest ones only, and named by rows (a, a).
@@ -218,10 +257,10 @@ def candidates(blobs: DataFrame, buckets: int, limit: int, undecided=None) -> Da
         own = tuple(x[inside] for x in index)  # lines of crowded keys
         if undecided is None:
             named = np.unique(np.r_[crowded[1], own[1]])
-            parts = [met(index, few, limit, crowd), met(own, crowded, limit, first), (named, named)]
+            parts = [met(index, few, crowd), met(own, crowded, first), (named, named)]
         else:
             open_ = lambda x: tuple(c[passing(undecided.value, x[1])] for c in x)
-            parts = [met(own, open_(crowded), limit, len(own[0])), met(open_(own), crowded, limit, len(own[0]))]
+            parts = [met(own, open_(crowded), len(own[0])), met(open_(own), crowded, len(own[0]))]
         a, b = (np.concatenate(x).view(np.int64) for x in zip(*parts, strict=True))
         return pa.table({"a": a, "b": b})
 
@@ -280,8 +319,19 @@ def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.join(ids, found.h1 == ids.h, "left_semi").dropDuplicates(["h1", "h2"])
 
 
-def within(left: list[bytes], right: list[bytes], limit: int) -> np.ndarray:
-    """Which pairs are at most limit edits apart: Hyyrö's banded bit vectors, one pair a lane.
+def near_enough(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Which pairs of lines are as few edits apart as the shorter one allows for."""
+    a, b = ([points(x) for x in side] for side in (left, right))
+    limit = allowed(np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64))
+    out = np.zeros(len(a), bool)
+    for k in range(1, MOST + 1):
+        own = np.flatnonzero(limit == k)
+        out[own] = within([a[i] for i in own], [b[i] for i in own], k)
+    return out
+
+
+def within(left: list, right: list, limit: int) -> np.ndarray:
+    """Which pairs of sequences of numbers are at most limit edits apart: Hyyrö's banded bit vectors, one pair a lane.
 
     A lane's word holds the vertical differences of the 2 * limit + 1 rows about the
     diagonal; the band moves down one row with each column.
@@ -302,12 +352,12 @@ def within(left: list[bytes], right: list[bytes], limit: int) -> np.ndarray:
         lanes = order[at : at + max(1, CHUNK // (width + 1))]
         at += len(lanes)
         columns, rows = width + 2 * limit + 2, len(lanes)
-        pattern = np.zeros((rows, columns), np.uint16)  # 0: before and after the line; limit places before
-        text = np.full((rows, int(n[lanes].max(initial=0))), 300, np.uint16)
+        pattern = np.zeros((rows, columns), np.uint32)  # 0: before and after the line; limit places before
+        text = np.full((rows, int(n[lanes].max(initial=0))), 1 << 30, np.uint32)
         for k, i in enumerate(lanes.tolist()):
-            pattern[k, limit : limit + m[i]] = np.frombuffer(long[i], np.uint8)
+            pattern[k, limit : limit + m[i]] = long[i]
             pattern[k, limit : limit + m[i]] += 1
-            text[k, : n[i]] = np.frombuffer(short[i], np.uint8)
+            text[k, : n[i]] = short[i]
             text[k, : n[i]] += 1
         pattern, text = np.ascontiguousarray(pattern.T), np.ascontiguousarray(text.T)
         size, turn = n[lanes], m[lanes] - limit
@@ -333,7 +383,7 @@ def within(left: list[bytes], right: list[bytes], limit: int) -> np.ndarray:
     return out
 
 
-def plain_distance(a: bytes, b: bytes) -> int:
+def plain_distance(a, b) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row, old = [i], row
@@ -342,22 +392,22 @@ def plain_distance(a: bytes, b: bytes) -> int:
     return row[-1]
 
 
-def links(docs: DataFrame, limit: int = LIMIT, undecided=None) -> tuple[DataFrame, DataFrame]:
-    """(a1, a2, b1, b2): different lines at most `limit` edits apart, once each; and (h1), the lines of crowded keys (see candidates)."""
+def links(docs: DataFrame, undecided=None) -> tuple[DataFrame, DataFrame]:
+    """(a1, a2, b1, b2): different lines as few edits apart as they may be, once each; and (h1), the lines of crowded keys (see candidates)."""
     buckets = partitions(docs.sparkSession)
-    found = cut(candidates(segment_blobs(docs, limit, buckets), buckets, limit, undecided))
+    found = cut(candidates(segment_blobs(docs, buckets), buckets, undecided))
     pairs, many = found.filter("a <> b"), found.filter("a = b").select(F.col("a").alias("h1"))
     texts = cut(wanted_texts(docs, pairs))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            near = within(b.column("left").to_pylist(), b.column("right").to_pylist(), limit)
+            near = near_enough(b.column("left").to_pylist(), b.column("right").to_pylist())
             yield b.select(["a1", "a2", "b1", "b2"]).filter(pa.array(near))
 
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("left"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("right"))
     both = pairs.join(a, F.col("a") == F.col("a1")).join(b, F.col("b") == F.col("b1"))
-    both = both.filter(F.abs(F.length("left") - F.length("right")) <= limit)
+    both = both.filter(F.abs(F.length("left") - F.length("right")) <= 4 * MOST)  # bytes of a code point
     return cut(both.select("a1", "a2", "b1", "b2", "left", "right").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long")), many
 
 
@@ -368,17 +418,17 @@ def earlier(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
     return both.join(other, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"))
 
 
-def removals(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines to remove from a document."""
     spots = stored(occurrences(docs))
     place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("line_no"))
     firsts = cut(spots.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")))
-    pairs, many = links(docs, limit)
+    pairs, many = links(docs)
     if not many.isEmpty():
         gone = firsts.join(earlier(pairs, firsts), ["h1", "h2"]).filter("other < first").select("h1")
         left = cut(many.join(gone, "h1", "left_anti"))
         if not left.isEmpty():
-            more, _ = links(docs, limit, filtered(left.withColumnRenamed("h1", "h")))
+            more, _ = links(docs, filtered(left.withColumnRenamed("h1", "h")))
             pairs = pairs.unionByName(more)
     near = earlier(pairs, firsts)
     bad = cut(firsts.join(near, ["h1", "h2"], "left").filter("n > 1 or other < first").select("h1", "h2", "n", F.least("first", "other").alias("first")))
@@ -389,10 +439,10 @@ def removals(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     return gone.groupBy("doc_id", "th").agg(F.collect_set("line_no").alias("gone"))
 
 
-def deduped(docs: DataFrame, limit: int = LIMIT, counts: bool = False) -> DataFrame:
+def deduped(docs: DataFrame, counts: bool = False) -> DataFrame:
     """docs with the removed lines gone from text (and n_chars as long as it is then); counts adds n_lines and n_removed."""
     doc, th, numbers = (unused(docs, c) for c in ("line_doc", "line_th", "line_gone"))
-    gone = removals(docs, limit).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("gone").alias(numbers))
+    gone = removals(docs).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("gone").alias(numbers))
     joined = docs.join(gone, docs.doc_id.eqNullSafe(gone[doc]) & (F.xxhash64(docs.text) == gone[th]), "left")
     lines = F.split("text", "\n", -1)
     text = F.when(F.col(numbers).isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(numbers, i)), "\n"))

@@ -124,16 +124,17 @@ OP2_SQL = """WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
 FROM d JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)"""
 
-#: Distinct lines of nearly the same length; at most two edits leave some third of a line as it is.
+#: Distinct lines of nearly the same length; at most two edits leave some third of a line as it is.  DuckDB counts edits in
+#: bytes, so letters of two bytes that these languages use become control characters first.
 OP10_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents),
- q AS (SELECT *, octet_length(encode(line)) AS n FROM l),
- f AS (SELECT line, n, length(line) // 3 AS t, min({'d': doc_id, 'k': k}) AS p FROM q WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line, n),
- s AS (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS m FROM f WHERE n >= 48),
- o AS (SELECT a.line, min(b.p) AS o FROM s a JOIN f b ON a.m = b.n WHERE b.n >= 48 AND a.line <> b.line AND CASE
-       WHEN left(a.line, a.t) = left(b.line, a.t) OR right(a.line, a.t) = right(b.line, a.t) OR contains(b.line, substring(a.line, a.t + 1, a.t))
-       THEN levenshtein(a.line, b.line) <= 2 ELSE false END GROUP BY a.line),
+ c AS (SELECT string_agg(chr(CAST(i AS INTEGER)), '' ORDER BY i) AS low FROM range(1, 32) t(i) WHERE i NOT IN (9, 10, 11, 12, 13)),
+ f AS (SELECT line, translate(line, 'äöüßÄÖÜéèêçÉÈÊÇñóíáúÑÓÍàâî', low) AS x, length(line) AS n, length(line) // 3 AS t, min({'d': doc_id, 'k': k}) AS p FROM l, c WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line, low),
+ s AS (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS m FROM f WHERE n >= 24),
+ o AS (SELECT a.line, min(b.p) AS o FROM s a JOIN f b ON a.m = b.n WHERE b.n >= 24 AND a.line <> b.line AND CASE
+       WHEN left(a.x, a.t) = left(b.x, a.t) OR right(a.x, a.t) = right(b.x, a.t) OR contains(b.x, substring(a.x, a.t + 1, a.t))
+       THEN levenshtein(a.x, b.x) <= CASE WHEN least(a.n, b.n) >= 48 THEN 2 ELSE 1 END ELSE false END GROUP BY a.line),
  e AS (SELECT f.line, CASE WHEN o < p THEN o ELSE p END AS p FROM f LEFT JOIN o USING (line)),
- g AS (SELECT q.doc_id, q.k, q.line, coalesce({'d': doc_id, 'k': k} > p, false) AS gone FROM q LEFT JOIN e ON e.line = q.line)
+ g AS (SELECT l.doc_id, l.k, l.line, coalesce({'d': doc_id, 'k': k} > p, false) AS gone FROM l LEFT JOIN e ON e.line = l.line)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id"""
 
 

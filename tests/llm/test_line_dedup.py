@@ -3,6 +3,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -31,23 +32,27 @@ def test_bit_vectors_against_the_full_matrix(cases, limit):
         left.append(text)
         right.append(bytes(other))
     wanted = [line_dedup.plain_distance(a, b) <= limit for a, b in zip(left, right, strict=True)]
-    assert line_dedup.within(left, right, limit).tolist() == wanted
+    assert line_dedup.within(*[[np.frombuffer(x, np.uint8) for x in side] for side in (left, right)], limit).tolist() == wanted
+
+
+def near(a, b):
+    shorter = min(len(a), len(b))
+    limit = 2 if shorter >= 48 else 1 if shorter >= 24 else 0
+    return abs(len(a) - len(b)) <= limit and line_dedup.plain_distance(a, b) <= limit
 
 
 def expected(data):
     places = []
     for r in data:
         key = (r[0] is None, r[0] or 0)
-        places += [(line.encode(), (*key, i)) for i, line in enumerate((r[1] or "").split("\n")) if re.search(WORD, line)]
+        places += [(line, (*key, i)) for i, line in enumerate((r[1] or "").split("\n")) if re.search(WORD, line)]
     out = []
     for r in data:
         key = (r[0] is None, r[0] or 0)
         kept, gone = [], 0
         lines = (r[1] or "").split("\n")
         for i, line in enumerate(lines):
-            x = line.encode()
-            limit = 2 if len(x) >= line_dedup.NEAR else 0
-            drop = bool(re.search(WORD, line)) and any(p < (*key, i) and (y == x or (limit and len(y) >= line_dedup.NEAR and abs(len(x) - len(y)) <= limit and line_dedup.plain_distance(x, y) <= limit)) for y, p in places)
+            drop = bool(re.search(WORD, line)) and any(p < (*key, i) and (y == line or near(line, y)) for y, p in places)
             gone += drop
             kept += [] if drop else [line]
         out.append((r[0], 0 if r[1] is None else len(lines), gone, hashlib.sha256("\n".join(kept).encode()).hexdigest()))
@@ -64,8 +69,8 @@ def planted():
             x = list(rng.choice(base))
             for _ in range(rng.randrange(4)):
                 at = rng.randrange(len(x))
-                x[at : at + rng.randrange(2)] = rng.choice(["", "q", "é"])
-            lines.append("".join(x)[: rng.choice([30, 200, 200])])
+                x[at : at + rng.randrange(2)] = rng.choice(["", "q", "é", "漢", "\U0001f600"])
+            lines.append("".join(x)[: rng.choice([22, 23, 24, 25, 30, 46, 47, 48, 49, 200, 200])])
         data.append((i, "\n".join(lines), "en", "s", None))
     return data
 
@@ -77,6 +82,26 @@ def test_against_all_pairs(spark):
     assert found == expected(data)
 
 
+def test_edits_are_code_points(spark):
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨"
+    pairs = {
+        (han, han[:20] + "漢" + han[20:]): 1,
+        ("thirty four letters are in a line x", "thirty four letters are in a line x."): 1,
+        ("twenty four letters here", "twenty four letters here."): 1,
+        ("twenty four letters here", "twenty four letter here"): 0,
+        ("twenty three letters..x", "twenty three letters..y"): 0,
+        ("é" * 47, "é" * 45 + "èè"): 0,
+        ("é" * 48, "é" * 46 + "èè"): 1,
+        ("é" * 48, "é" * 45 + "èèè"): 0,
+        ("\U0001f600" * 50, "\U0001f600" * 48): 1,
+    }
+    data = [(2 * k + i, x, None, None, None) for k, pair in enumerate(pairs) for i, x in enumerate(pair)]
+    data = [r for k in range(len(pairs)) for r in data[2 * k : 2 * k + 2]]
+    for k, gone in enumerate(pairs.values()):
+        found = {r.doc_id: r.n_removed for r in line_dedup.query(table(spark, data[2 * k : 2 * k + 2])).collect()}
+        assert found == {2 * k: 0, 2 * k + 1: gone}, k
+
+
 def test_columns_stay(spark):
     docs = table(spark, planted()).selectExpr("*", "1 as gone", "'x' as h1", "2 as line_gone", "3 as line_doc", "4 as line_th", "5 as line_no")
     out = line_dedup.deduped(docs)
