@@ -36,8 +36,9 @@ from .common import partitions, slices, stored, text_buffers, window_hashes
 
 SPAN = 50
 ANCHOR = 20
-#: Suffixes that a task sorts at once; a minimizer's pieces aren't divided, and there are at most a BLOCK of bytes of them.
+#: Suffixes that a task sorts at once; a minimizer's pieces aren't divided, but are sorted only if they fill FEW blocks at most.
 BLOCK = 1_000_000
+FEW = 4
 LAST = (1 << 63) - 1
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -211,7 +212,7 @@ def shared_minimizers(docs: DataFrame, span: int, anchor: int, buckets: int) ->
 
 
 def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataFrame:
-    """(t1, t2, d, start, mz, piece): runs of strings whose minimizer is shared, with their bytes."""
+    """(t1, t2, d, start, mz, size, piece): runs of strings whose minimizer is shared, with their bytes."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -230,15 +231,15 @@ def pieces(texts: DataFrame, shared: DataFrame, span: int, anchor: int) -> DataF
             start, count, mz, row = start[use], count[use], mz[use], row[use]
             raw = data.tobytes()
             own = pa.array(row)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(own) for c in ("t1", "t2", "d")), pa.array((start - offsets[row]).astype(np.int32)), pa.array(mz.view(np.int64)), pa.array([raw[i:j] for i, j in zip(start.tolist(), (start + count + span - 1).tolist(), strict=True)], pa.binary())], ["t1", "t2", "d", "start", "mz", "piece"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(own) for c in ("t1", "t2", "d")), pa.array((start - offsets[row]).astype(np.int32)), pa.array(mz.view(np.int64)), pa.array((count + span - 1).astype(np.int32)), pa.array([raw[i:j] for i, j in zip(start.tolist(), (start + count + span - 1).tolist(), strict=True)], pa.binary())], ["t1", "t2", "d", "start", "mz", "size", "piece"])
 
     lists = shared.groupBy("t1").agg(F.collect_set("mz").alias("shared"))
-    return texts.join(lists, "t1").select("t1", "t2", "d", "text", "shared").mapInArrow(make, "t1 long, t2 int, d long, start int, mz long, piece binary")
+    return texts.join(lists, "t1").select("t1", "t2", "d", "text", "shared").mapInArrow(make, "t1 long, t2 int, d long, start int, mz long, size int, piece binary")
 
 
 def crowded(found: DataFrame, block: int) -> DataFrame:
-    """(mz): minimizers whose pieces, equal ones included, have more bytes than a block."""
-    return stored(found.groupBy("mz").agg(F.sum(F.octet_length("piece")).alias("n")).filter(F.col("n") > block).select("mz"))
+    """(mz): minimizers whose pieces, equal ones included, have more bytes than a few blocks."""
+    return stored(found.groupBy("mz").agg(F.sum("size").alias("n")).filter(F.col("n") > FEW * block).select("mz"))
 
 
 def owners_apart(found: DataFrame, span: int) -> DataFrame:
@@ -255,6 +256,8 @@ def owners_apart(found: DataFrame, span: int) -> DataFrame:
 def owners(found: DataFrame, span: int, block: int) -> DataFrame:
     """(mz, ph, runs): for each different piece the smallest doc_id of its strings, by runs of them."""
     many = crowded(found, block)
+    if many.isEmpty():
+        return owners_sorted(found, span, block)
     apart = owners_apart(found.join(many, "mz", "left_semi"), span)
     return owners_sorted(found.join(many, "mz", "left_anti"), span, block).unionByName(apart)
 

@@ -64,7 +64,7 @@ def test_against_all_strings(spark):
 
 def test_small_blocks(spark):
     data = planted()
-    found = sorted((tuple(r) for r in suffix_dedup.deduped(table(spark, data).repartition(5), block=500).collect()), key=str)
+    found = sorted((tuple(r) for r in suffix_dedup.deduped(table(spark, data).repartition(5), block=200).collect()), key=str)
     assert found == expected(data)
 
 
@@ -78,10 +78,10 @@ def test_strings_of_crowded_minimizers_apart(spark):
     rows = suffix_dedup.marked(table(spark, data))
     texts = rows.groupBy("t1", "t2").agg(F.min("d").alias("d"), F.first("text").alias("text"))
     found = suffix_dedup.pieces(texts, suffix_dedup.shared_minimizers(rows, 50, 20, 3), 50, 20)
-    assert 0 < suffix_dedup.crowded(found, 5000).count() < found.select("mz").distinct().count()
+    assert 0 < suffix_dedup.crowded(found, 1250).count() < found.select("mz").distinct().count()
     both = [sorted((r.mz, r.ph, s, r.runs[k].least) for r in x.collect() for k in range(len(r.runs)) for s in range(r.runs[k].skip, r.runs[k].skip + r.runs[k].n)) for x in (suffix_dedup.owners_apart(found, 50), suffix_dedup.owners_sorted(found, 50, 10**6))]
     assert both[0] == both[1]
-    out = sorted((tuple(r) for r in suffix_dedup.deduped(table(spark, data), block=5000).collect()), key=str)
+    out = sorted((tuple(r) for r in suffix_dedup.deduped(table(spark, data), block=1250).collect()), key=str)
     assert out == expected(data)
 
 
