@@ -38,27 +38,38 @@ class Route:
     versions: tuple[tuple[str, str], ...] = ()
 
 
+def chosen(value: Column, route: Route) -> Column:
+    """Where a record with this value goes; null goes to the default."""
+    return F.when(F.startswith(value, F.lit(route.prefix)), F.lit(route.match)).otherwise(F.lit(route.default))
+
+
+def lowered(headers: Column) -> Column:
+    """The map with its keys in lower case; of keys that differ in case only the last stands."""
+    entries = F.transform(F.map_entries(headers), lambda e, i: F.struct(F.lower(e["key"]).alias("key"), i.alias("i"), e["value"].alias("value")))
+    last = lambda all_: F.filter(all_, lambda e, i: ~F.coalesce(F.get(all_, i + 1)["key"] == e["key"], F.lit(False)))
+    kept = F.element_at(F.transform(F.array(F.array_sort(entries)), last), 1)  # sorted once, not for each entry
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], e["value"])))
+
+
 def routed(records: DataFrame, route: Route) -> DataFrame:
     """(method, path, destination, url, headers, model, length) for each record. Header names are in lower case."""
     body = F.when(F.is_valid_utf8(F.col("body").cast("string")), F.col("body").cast("string"))
     model = F.coalesce(string_field(body, route.field), F.lit(""))
     hit = F.startswith(F.col("model"), F.lit(route.prefix))
-    entries = F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))
-    # of names that differ in case only, the last stands
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: F.lower(x["key"]) == F.lower(e["key"])))
-    low = F.map_from_entries(F.transform(last, lambda e: F.struct(F.lower(e["key"]), e["value"])))
-    kept = drop_keys(low, list(HOP_HEADERS))
+    low = lowered(F.coalesce("headers", F.create_map().cast("map<string,string>")))
+    kept = drop_keys(F.col("low"), list(HOP_HEADERS))
     matched: Column = drop_keys(kept, list(CREDENTIALS))
     for name, value in route.versions:
         matched = put_default(matched, name, F.lit(value))
-    return records.withColumn("model", model).select(
+    rows = records.select("method", "path", low.alias("low"), model.alias("model")).withColumn("destination", chosen(F.col("model"), route))
+    return rows.select(
         "method",
         "path",
-        F.when(hit, F.lit(route.match)).otherwise(F.lit(route.default)).alias("destination"),
+        "destination",
         F.concat(F.when(hit, F.lit(route.match_url)).otherwise(F.lit(route.default_url)), F.coalesce("path", F.lit(""))).alias("url"),
         F.when(hit, matched).otherwise(kept).alias("headers"),
         "model",
-        int_or(F.get(F.filter(last, lambda e: F.lower(e["key"]) == "content-length"), F.lit(0))["value"]).alias("length"),
+        int_or(F.try_element_at("low", F.lit("content-length"))).alias("length"),
     )
 
 

@@ -22,7 +22,7 @@ from ..functions.syntax import json_error, python_error
 from ..functions.text import any_pattern, as_text, first_match, line_matches, message, stem, whole_characters
 from ..operators.findings import finding, report, union
 from ..operators.membership import dangling, difference, found, listed, missing, mismatch, unknown
-from ..sources.trees import below, literal, read_tree, without
+from ..sources.trees import below, literal, other_than, read_tree, without
 from ..tables import stored
 
 # Shapes of tokens and keys, and the home folder's path, that a content scan reports.
@@ -111,7 +111,7 @@ def judged(tree: DataFrame, rules: Rules) -> DataFrame:
     only = lambda flag: F.when(F.col(flag) & F.col("whole"), F.col("text"))
     rows = rows.withColumns({"json_error": json_error(only("json")), "python_error": python_error(only("python"))})
     broken = lambda flag: F.when(F.col(flag) & F.col("whole"), F.when(F.col("text").isNull(), F.lit("not UTF-8")).otherwise(F.col(f"{flag}_error")))
-    looked = F.col("scanned") & (path != rules.own)
+    looked = F.col("scanned") & other_than(rules.own)
     entry = lambda kind, detail: F.when(detail.isNotNull(), F.struct(F.lit(kind).alias("kind"), detail.alias("detail")))
     entries = F.array(
         entry("json", broken("json")),

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import maps, syntax, text
 from .operators import findings, membership
-from .plans.routing import Route, decisions, routed
+from .plans.routing import Route, chosen, decisions, routed
 from .plans.tree_check import Rules, checked
 from .sources.reports import read_findings, verdict, write_report
-from .sources.trees import below, depth, literal, read_tree, without
+from .sources.trees import below, depth, literal, other_than, read_tree, without
 from .streaming.requests import log_decisions, read_requests
 from .tables import local_path, new_path
 
@@ -75,11 +75,11 @@ def row_filter(spark, d):
 
 
 def self_exclusion(spark, d):
-    return _table(spark, d, "pages").filter(F.col("page_id") != 7).select("page_id")
+    return _table(spark, d, "pages").filter(other_than("7", "page_id")).select("page_id")
 
 
 def prefix_route(spark, d):
-    to = F.when(F.startswith("url", F.lit("https")), F.lit("secure")).otherwise(F.lit("default"))
+    to = chosen(F.col("url"), Route(prefix="https", match="secure", default="default"))
     return _table(spark, d, "pages").groupBy(to.alias("destination")).agg(F.count("*").alias("n"))
 
 

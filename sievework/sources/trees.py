@@ -230,3 +230,8 @@ def without(folders: list[str], suffixes: list[str] = (), names: list[str] = (),
     for s in suffixes:
         out = out & ~(F.endswith(name, F.lit(s)) & (F.length(name) > len(s)))
     return out & ~name.isin(list(names)) if names else out
+
+
+def other_than(own: str, path: str = "path") -> Column:
+    """Every path but this one."""
+    return F.col(path).cast("string") != own

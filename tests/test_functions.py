@@ -121,6 +121,22 @@ def test_routing(spark):
     assert found["/none"].headers == {} and found["/none"].length == 0
 
 
+def test_of_headers_that_differ_in_case_the_last_stands(spark):
+    names = ["A", "b", "a", "B", "Host", "C"], [f"X{k}" for k in range(3000)] + [f"x{k}" for k in range(3000)]
+    values = ["1", "2", "3", None, "h", "4"], [str(k) for k in range(6000)]
+    rows = spark.createDataFrame(list(zip(("0", "1"), names, values, strict=True)), "path string, names array<string>, values array<string>")
+    rows = rows.select(F.lit("POST").alias("method"), "path", F.map_from_arrays("names", "values").alias("headers"), F.lit(None).cast("binary").alias("body"))
+    found = {r.path: r.headers for r in routed(rows, ROUTE).collect()}
+    assert found == {"0": {"a": "3", "b": None, "c": "4"}, "1": {f"x{k}": str(3000 + k) for k in range(3000)}}
+
+
+def test_one_name_for_both_destinations(spark):
+    same = Route(prefix="abc", match="one", default="one")
+    found = {r.path: r for r in routed(requests(spark), same).collect()}
+    assert {r.destination for r in found.values()} == {"one"}
+    assert [("authorization" in found[f"/p{i}"].headers) for i in range(len(BODIES))] == [not hit for _, hit in BODIES]
+
+
 def test_stream_gives_what_the_table_gives(spark, tmp_path):
     data = requests(spark)
     folder, target = str(tmp_path / "in"), str(tmp_path / "out")
