@@ -83,23 +83,22 @@ def test_against_all_pairs(spark):
 
 
 def test_edits_are_code_points(spark):
+    """Pairs of lines in one table, each pair of letters of its own; whether the second line goes."""
     han = "天地玄黄宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨"
     pairs = {
         (han, han[:20] + "漢" + han[20:]): 1,
         ("thirty four letters are in a line x", "thirty four letters are in a line x."): 1,
         ("twenty four letters here", "twenty four letters here."): 1,
-        ("twenty four letters here", "twenty four letter here"): 0,
-        ("twenty three letters..x", "twenty three letters..y"): 0,
+        ("here are 24 letters, too", "here are 24 letters, to"): 0,
+        ("only 23 letters, it is x", "only 23 letters, it is"): 0,
         ("é" * 47, "é" * 45 + "èè"): 0,
-        ("é" * 48, "é" * 46 + "èè"): 1,
-        ("é" * 48, "é" * 45 + "èèè"): 0,
+        ("ö" * 48, "ö" * 46 + "üü"): 1,
+        ("ñ" * 48, "ñ" * 45 + "ççç"): 0,
         ("\U0001f600" * 50, "\U0001f600" * 48): 1,
     }
     data = [(2 * k + i, x, None, None, None) for k, pair in enumerate(pairs) for i, x in enumerate(pair)]
-    data = [r for k in range(len(pairs)) for r in data[2 * k : 2 * k + 2]]
-    for k, gone in enumerate(pairs.values()):
-        found = {r.doc_id: r.n_removed for r in line_dedup.query(table(spark, data[2 * k : 2 * k + 2])).collect()}
-        assert found == {2 * k: 0, 2 * k + 1: gone}, k
+    found = {r.doc_id: r.n_removed for r in line_dedup.query(table(spark, data)).collect()}
+    assert found == {2 * k + i: i * gone for k, gone in enumerate(pairs.values()) for i in (0, 1)}
 
 
 def test_columns_stay(spark):
@@ -121,7 +120,7 @@ def template(rng, n, digits):
     return [(i, "\n".join(lines[at : at + 4]), "en", "s", None) for i, at in enumerate(range(0, n, 4))]
 
 
-@pytest.mark.parametrize(("crowd", "first", "digits"), [(20, 1, 4), (20, 3, 6), (5, 2, 9)])
+@pytest.mark.parametrize(("crowd", "first", "digits"), [(20, 1, 4), (5, 3, 8)])
 def test_crowded_keys_give_the_same(spark, monkeypatch, crowd, first, digits):
     data = template(random.Random(crowd + digits), 200, digits) + [(r[0] + 1000, *r[1:]) for r in planted()] + [(None, template(random.Random(2), 4, digits)[0][1], None, None, None)]
     random.Random(1).shuffle(data)
