@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import fold, slices, text_buffers
 
 SLOTS = 1 << 16
+#: Bytes of text that are looked at together; arrays take some thirty times as many.
+SLICE = 1 << 20
 SWITCH = 12.0
 #: Least share of a text's letters that its language must have in the pipeline.
 LEAST_SCORE = 0.5
@@ -92,7 +94,7 @@ def trained(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndar
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in slices(batches):
+        for b in slices(batches, most=SLICE):
             slot, begin, length, script, row = analysed(*text_buffers(b.column("text")))
             langs = b.column("lang").to_pylist()
             names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
@@ -182,7 +184,7 @@ def identify(docs: DataFrame, learn: Column, switch: float = SWITCH) -> DataFram
     model = docs.sparkSession.sparkContext.broadcast(trained(docs.filter(learn & F.col("lang").isNotNull())))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, most=SLICE):
             names, score, spans = decided(*text_buffers(b.column("text")), model.value, switch)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(spans.astype(np.int32))], ["doc_id", "lang_pred", "score", "n_spans"])
 
@@ -200,7 +202,7 @@ def accepted(docs: DataFrame, least: float = LEAST_SCORE, switch: float = SWITCH
     model = docs.sparkSession.sparkContext.broadcast(trained(docs.filter(F.col("lang").isNotNull())))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, most=SLICE):
             names, score, _ = decided(*text_buffers(b.column("text")), model.value, switch)
             yield b.filter(pa.array((names != "und") & (score >= least) if model.value[0] else np.ones(b.num_rows, bool), pa.bool_()))
 
