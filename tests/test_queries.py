@@ -38,3 +38,14 @@ def test_same_rows(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_tables_in_parts_are_tables(spark, tmp_path):
+    for k, t in enumerate(TABLES):
+        own = tmp_path / f"{t}.parquet"
+        if k % 2:
+            own.mkdir()
+            own /= "part-0000.parquet"
+        own.touch()
+    (tmp_path / "notes.txt").touch()
+    assert sorted(r.path for r in entry.queries()["tree_files"](spark, str(tmp_path)).collect()) == sorted(f"{t}.parquet" for t in TABLES)
