@@ -19,12 +19,15 @@ Null and empty texts are the end id alone.  Repeated rows are packed once each.
 from __future__ import annotations
 
 import os
+import re
 import string
 import unicodedata
 import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +41,13 @@ END = 1
 #: A sweep or a round that leaves more than this share of the (squared) rest is the last one.
 SETTLED = 0.9
 #: How many words an encoder remembers at most.
-CACHE = 600_000
+CACHE = 450_000
 #: What stands between words that are encoded together, and how many of them.
 MARK = "|"
 TOGETHER = 100
-#: Marks that may end a word; an apostrophe may begin a piece of letters.
-TAIL = string.punctuation.replace("'", "").replace(MARK, "")
+#: Marks that begin a piece of their own after a letter or digit; an apostrophe may begin one of letters.
+MARKS = string.punctuation.replace("'", "").replace(MARK, "")
+BEFORE_MARKS = re.compile(rf"[{re.escape(MARKS)}](?<=[^\W_].)")
 #: A tokenizer that gives other ids for these without its normalizer and its way of splitting isn't used without them.
 PROBE = ("the quick brown fox jumps over the lazy dog | internationalization zzyzx", "größer été naïve œuvre ñandú Привет漢字 | straße".lower())
 
@@ -70,6 +74,12 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.mark = self.tokenizer.token_to_id(f"{MARK}</w>")
+        #: Which ids end a piece; None, if not every byte can.
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        if not all(f"{c}</w>" in vocab for c in pre_tokenizers.ByteLevel.alphabet()):
+            self.last = None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -86,66 +96,85 @@ class Encoder:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def single(self, words: list[str]) -> list[bytes]:
-        """The ids of each word; many words go to the tokenizer as one text, with marks between them.
-
-        A mark is a token sequence of one id, which only words that hold the mark can have.
+    def parted(self, words: list[str], tokenizer, between: str, last: np.ndarray) -> Iterator[tuple[str, bytes]]:
+        """Each word and its ids, from texts of many words; last: of an id, whether it is the last one of a word or what stands between."""
+        size, cut = self.kind.itemsize, len(between.split())
+        parts = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        for part, e in zip(parts, tokenizer.encode_batch_fast([between.join(part) for part in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            ends = (np.flatnonzero(last[ids]) + 1) * size
+            raw, begins, ends = ids.tobytes(), [0, *ends.tolist()], [*(ends - cut * size).tolist(), len(ids) * size]
+            yield from zip(part, [raw[a:b] for a, b in zip(begins[: len(part)], ends[: len(part)], strict=True)], strict=True)
+
+    def single(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each word and its ids; many words go to the tokenizer as one text.
+
+        A word of letters is one piece, whose last id can only be a last one.  Between others
+        stand marks: token sequences of one id, which only words that hold the mark can have.
         """
-        found: dict[str, bytes] = {}
-        size = self.kind.itemsize
-        plain = [w for w in words if MARK not in w]
-        kinds: tuple[list[str], ...] = ([], [], [])
-        for w in plain:
-            kinds[w.isalpha() and 1 + w.isascii()].append(w)
-        for own, tokenizer in zip(kinds, (self.tokenizer, self.letters, self.ascii), strict=True):
-            parts = [own[k : k + TOGETHER] for k in range(0, len(own), TOGETHER)]
-            encoded = tokenizer.encode_batch_fast([f" {MARK} ".join(part) for part in parts], add_special_tokens=False)
-            for part, e in zip(parts, encoded, strict=True):
-                ids = np.array(e.ids, self.kind)
-                raw, ends = ids.tobytes(), np.flatnonzero(ids == self.mark) * size
-                for w, a, b in zip(part, [0, *(ends + size).tolist()], [*ends.tolist(), len(raw)], strict=True):
-                    found[w] = raw[a:b]
-        other = [w for w in words if MARK in w]
-        found.update(zip(other, self.whole(other), strict=True))
-        return [found[w] for w in words]
+        kinds: tuple[list[str], ...] = ([], [], [], [])
+        for w in words:
+            kinds[w.isalpha() and 1 + w.isascii() or 3 * (MARK in w)].append(w)
+        plain, letters, ascii_letters, other = kinds
+        if self.last is None or self.letters is self.tokenizer or self.ascii is self.tokenizer:
+            plain, letters, ascii_letters = plain + letters + ascii_letters, [], []
+        for own, tokenizer in ((letters, self.letters), (ascii_letters, self.ascii)):
+            yield from self.parted(own, tokenizer, " ", self.last)
+        if self.mark is None:
+            other, plain = other + plain, []
+        else:
+            yield from self.parted(plain, self.tokenizer, f" {MARK} ", np.arange(self.tokenizer.get_vocab_size()) == self.mark)
+        yield from zip(other, self.whole(other), strict=True)
 
     def words(self, text: str) -> list[str] | None:
-        if any(x in text for x in self.odd) or not unicodedata.is_normalized("NFC", text):
+        """The text's words, without the marks after a letter or digit, which are words of their own; None, if it must stay whole."""
+        if any(x in text for x in self.odd) or not composed(text):
             return None
         low = text.lower()
-        return low.split() if low.isascii() or unicodedata.is_normalized("NFC", low) else None
+        return BEFORE_MARKS.sub(r" \g<0>", low).split() if composed(low) else None
 
     def learn(self, words: set[str]) -> None:
-        """Sees to it that all these words are known.
-
-        Marks after a letter are a token sequence of their own, so a word that ends in some is
-        known if the rest and they are.
-        """
-        known, older = self.known, self.older
-        again = words & older.keys()
-        known.update((w, older[w]) for w in again)
-        marked: dict[str, tuple[str, str]] = {}
-        for w in words - again:
-            if not w.isalpha():
-                rest = w.rstrip(TAIL)
-                if rest and len(rest) < len(w) and rest[-1].isalpha():
-                    marked[w] = (rest, w[len(rest) :])
-        parts = {x for both in marked.values() for x in both}.difference(known)  # a set's `-` would walk all of known
-        again = parts & older.keys()
-        known.update((w, older[w]) for w in again)
-        new = list(words.difference(known, marked) | parts.difference(known))
-        known.update(zip(new, self.single(new) if self.mark is not None else self.whole(new), strict=True))
-        known.update((w, known[rest] + known[tail]) for w, (rest, tail) in marked.items())
+        """Sees to it that all these words are known."""
+        again = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        self.known.update(self.single(list(words - again)))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
         if len(self.known) > CACHE // 2:  # what isn't used meanwhile is forgotten next time
             self.known, self.older = {}, self.known
-        split = [self.words(t) for t in texts]
-        self.learn(set().union(*filter(None, split)).difference(self.known))
+        get = self.known.get
+        split: list[tuple[list[str], list, list[int]] | None] = []  # words, what is known of them, places of those that aren't known
+        new: set[str] = set()
+        for t in texts:
+            if (words := self.words(t)) is None:
+                split.append(None)
+                continue
+            found = list(map(get, words))
+            holes = list(compress(range(len(words)), map(is_, found, repeat(None)))) if None in found else []
+            new.update(map(words.__getitem__, holes))
+            split.append((words, found, holes) if holes else ([], [b"".join(found)], holes))
+        self.learn(new)
         end = np.array([END], self.kind).tobytes()
-        known = self.known
-        return [np.frombuffer(b"".join(map(known.__getitem__, words) if words is not None else self.whole([t])) + end, self.kind) for t, words in zip(texts, split, strict=True)]
+        out = []
+        for t, own in zip(texts, split, strict=True):
+            if own is None:
+                parts = self.whole([t])
+            else:
+                words, parts, holes = own
+                for k in holes:
+                    parts[k] = self.known[words[k]]
+            out.append(np.frombuffer(b"".join(parts) + end, self.kind))
+        return out
+
+
+def composed(text: str) -> bool:
+    """Whether the text is its own composed form; a text of Latin-1 is."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return unicodedata.is_normalized("NFC", text)
+    return True
 
 
 _encoders: dict[str, Encoder] = {}
@@ -177,6 +206,7 @@ def tokens(docs: DataFrame, path: str, window: int, salts: int, most: int) -> Da
                 ],
                 ["doc_id", "n", "full", "length", "checks", "rest", "unit"],
             )
+        encoder.older = {}  # a worker that waits holds less
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, n long, full long, length int, checks array<long>, rest binary, unit int")
@@ -331,7 +361,7 @@ def plan(counts: dict[int, int], window: int) -> tuple[dict[int, tuple[list[int]
     return out, used, ways
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW, most: int = 1 << 20) -> DataFrame:
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, most: int = 1 << 18) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece; `most` bytes of text are looked at together."""
     spark = docs.sparkSession
     rows = stored(tokens(docs, path, window, partitions(spark), most))
@@ -390,4 +420,4 @@ def default_path() -> str:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return pieces(docs, default_path(), most=2 << 20)
+    return pieces(docs, default_path())

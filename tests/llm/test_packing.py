@@ -1,3 +1,6 @@
+import random
+import re
+import unicodedata
 from collections import defaultdict
 from itertools import combinations_with_replacement
 
@@ -114,3 +117,19 @@ def test_least_squares_place_most_rows():
 
 def test_empty(spark):
     assert packing.query(empty(spark)).count() == 0
+
+
+def test_marks_after_letters_are_words_of_their_own():
+    encoder = packing.Encoder(packing.default_path())
+    assert encoder.words("One, two_three... don't 4.5% été!|") == ["one", ",", "two", "_three", "...", "don't", "4", ".5", "%", "été", "!|"]
+    assert len(encoder.known) == 0 and encoder.ids(["stone. stone, stone"]) and set(encoder.known) == {"stone", ".", ","}
+    rng = random.Random(5)
+    signs = "ab é ß ² ½ 7 ǅ ا _ ' . , ! - | $ %* \t \n 漢 ʰ's ' ʼ".split(" ") + [" "] * 6
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)]
+    for t, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert ids.tolist() == [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1], t
+
+
+def test_what_stands_before_a_mark_is_a_letter_or_a_number():
+    letters = re.compile(r"[^\W_]")
+    assert all(unicodedata.category(chr(c))[0] in "LN" for c in range(0x110000) if letters.match(chr(c)))
