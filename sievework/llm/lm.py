@@ -146,7 +146,7 @@ def dealt(code: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 def distinct_codes(found: list[tuple[np.ndarray, np.ndarray]], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct codes, and how often each occurs in training tokens."""
-    both = np.concatenate([code << np.uint64(1) | train[at].astype(np.uint64) for at, code in found])
+    both = np.concatenate([np.zeros(0, np.uint64), *(code << np.uint64(1) | train[at].astype(np.uint64) for at, code in found)])
     both.sort()
     code = both >> np.uint64(1)
     first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
@@ -376,6 +376,21 @@ def fitted(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAS
     return texts, stored(resolved(texts, replies, depth, bits, tokens, distinct)), bits, buckets, tokens
 
 
+def counted(docs: DataFrame, learn: Column) -> DataFrame:
+    """What scored() tells without the tree: the same steps without contexts, so that only words are counted and asked for."""
+    texts, found, _, _, tokens = fitted(docs, learn, depth=0)
+    base = found.filter("kind = 0").select("slice", F.col("a").alias("base"), F.col("b").alias("known"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, *raw in zip(b.column("doc"), *(b.column(c).to_pylist() for c in ("size", "known", "base")), strict=True):
+                size, known, score = (restored(x, t) for x, t in zip(raw, ("<u4", "<i8", "<f8"), strict=True))
+                yield pa.RecordBatch.from_arrays([doc.values, pa.array(size.astype(np.int64)), pa.array(known), pa.array(np.full(len(size), tokens)), pa.array(score)], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.select("slice", "doc", "size").join(base, "slice").mapInArrow(make, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double")
+
+
 def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST, diverge: float = DIVERGE) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; learn: which rows are learned from."""
     texts, found, bits, buckets, tokens = fitted(docs, learn, depth, least)
@@ -391,3 +406,8 @@ def held_out() -> Column:
 
 def query(docs: DataFrame) -> DataFrame:
     return scored(docs, ~held_out()).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def base_query(docs: DataFrame) -> DataFrame:
+    """The columns of query() that need no tree."""
+    return counted(docs, ~held_out()).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score")

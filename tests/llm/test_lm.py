@@ -105,3 +105,20 @@ def test_empty_and_without_training_rows(spark):
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = lm.query(table(spark, [(only, "a b", "en", "s", 3)])).first()
     assert r.held_out and r.train_tokens == 0 and r.n_known == 0 and r.n_tokens == 3 and r.base_score == 0 and r.score == 0
+
+
+def test_counts_without_the_tree_are_the_same(spark, monkeypatch):
+    data = rows()
+    docs = table(spark, data)
+    with monkeypatch.context() as m:
+        m.setattr(lm, "states", None)  # nothing of the tree is asked for
+        found = sorted(map(tuple, lm.base_query(docs).collect()), key=repr)
+    assert found == sorted((tuple(r)[:-1] for r in lm.query(docs).collect()), key=repr)
+    assert lm.base_query(empty(spark)).count() == 0
+
+
+def test_token_counts_grow_no_tree(spark, monkeypatch):
+    from sievework.llm import queries
+
+    monkeypatch.setattr(lm, "states", None)
+    assert queries.token_counts(spark, "/root/testdata/sf0.001").count() > 0
