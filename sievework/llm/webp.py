@@ -2,9 +2,14 @@
 
 `decode` reads any lossless file, still or animated: prefix codes, back-references,
 colour cache, entropy images, and the predictor, cross-colour, subtract-green and palette
-transforms.  `encode_planes` writes 8-bit samples as the green channel of one or more
-frames.  `decode_planes` reads many such files at once: one pixel of every frame in a
-step; what it does not know it leaves to `decode`.
+transforms.  `encode_planes` writes 8-bit samples as one or more grey frames: green is
+subtracted from red and blue, and where it makes the file smaller samples are predicted from
+those to the left or above.  `decode_planes` reads many such files at once: one pixel of every
+frame in a step; what it does not know it leaves to `decode`.
+
+A colour cache is read but never written: in a grey frame a pixel that is spelled out takes
+one code, as one from the cache does, so a cache only splits that code's counts.  Nor are
+cross-colour (red and blue are zero already) and palettes written.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ SIGNATURE = 0x2F
 LITERALS, LENGTHS, DISTANCES = 256, 24, 40
 PREDICTOR, CROSS, GREEN, PALETTE = 0, 1, 2, 3
 BLACK = 0xFF000000
+#: Predictors that are written, and the exponent of their blocks' size: a frame is one line of blocks.
+LEFT, TOP, BLOCKS = 1, 2, 9
 #: Near distances (x, y) in the order of their codes 1 to 120.
 NEARBY = sorted(((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, -p[1], p[0] < 0))
 
@@ -407,20 +414,62 @@ def put_code(w: Writer, lengths: dict[int, int], size: int) -> None:
         at = s + 1
 
 
-def header(height: int, green: dict[int, int], far: dict[int, int], width: int = WIDTH) -> tuple[int, int]:
-    """Bits before the first pixel, and their number: no transforms, no cache, one group of codes."""
+def header(height: int, green: dict[int, int], far: dict[int, int], width: int = WIDTH, mode: int = 0) -> tuple[int, int]:
+    """Bits before the first pixel, and their number: green subtracted, a predictor if mode says so, no cache, one group of codes."""
     w = Writer()
     w.put(SIGNATURE, 8)
     w.put(width - 1, 14)
     w.put(height - 1, 14)
-    w.put(0, 1 + 3 + 1 + 1 + 1)  # alpha, version, no transform, no cache, no entropy image
+    w.put(0, 1 + 3)  # alpha, version
+    w.put(1 | GREEN << 1, 3)
+    if mode:
+        w.put(1 | PREDICTOR << 1, 3)
+        w.put(BLOCKS - 2, 3)
+        w.put(0, 1)  # the blocks' image has no cache
+        for only in (mode, 0, 0, 255):
+            put_code(w, {only: 1}, LITERALS)
+        put_code(w, {}, DISTANCES)
+    w.put(0, 1 + 1 + 1)  # no other transform, no cache, no entropy image
     put_code(w, green, LITERALS + LENGTHS)
-    for only in (0, 0, 255):  # red, blue, alpha
+    for only in (0, 0, 0 if mode else 255):  # red, blue, alpha
         put_code(w, {only: 1}, LITERALS)
     put_code(w, far, DISTANCES)
     return w.value, w.n
 
 
+def residuals(data: np.ndarray, offsets: np.ndarray, mode: int) -> np.ndarray:
+    """What a predictor leaves of each row's frames."""
+    x = data.reshape(-1, WIDTH)
+    first = offsets[:-1] // WIDTH
+    y = (np.arange(len(x)) - np.repeat(first, np.diff(offsets) // WIDTH)) % ROWS
+    out = x.copy()
+    out[:, 1:] -= x[:, :-1]
+    inner = np.flatnonzero(y)
+    if mode == LEFT:
+        out[inner, 0] -= x[inner - 1, 0]
+    else:
+        out[inner] = x[inner] - x[inner - 1]
+    return out.ravel()
+
+
+def restore(rest: np.ndarray, width: int, mode: int) -> np.ndarray:
+    """A frame's samples from what the predictor left."""
+    x = rest.reshape(-1, width).copy()
+    if mode == LEFT:
+        x[:, 0] = np.cumsum(x[:, 0], dtype=np.uint8)
+    else:
+        x[0] = np.cumsum(x[0], dtype=np.uint8)
+    return np.cumsum(x, axis=1 if mode == LEFT else 0, dtype=np.uint8).ravel()
+
+
+def entropies(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bits of each row's samples by their frequencies."""
+    rows, size = len(offsets) - 1, np.diff(offsets)
+    key = np.repeat(np.arange(rows, dtype=np.int32) << 8, size) | data
+    n = np.bincount(key, minlength=rows << 8).reshape(rows, 256)
+    return size * np.log2(np.maximum(size, 1)) - (n * np.log2(np.maximum(n, 1))).sum(axis=1)
+
+
 def matches(data: np.ndarray, frame: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where a frame repeats at least LEAST samples of its own, how many and from how far back; the first that comes is taken.
 
@@ -495,8 +544,28 @@ def codes_for(row: np.ndarray, symbol: np.ndarray, rows: int, size: int) -> tupl
 def encode_planes(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     """A file for each row of data: WIDTH samples a line, ROWS lines a frame at most.
 
-    A row's length is a multiple of WIDTH.  What a frame repeats of itself is written as
-    back-references; a row's frames share their prefix codes.
+    A row's length is a multiple of WIDTH.  Predictors that promise fewer bits for a row are
+    tried, and the smallest file stays.
+    """
+    files = written(data, offsets)
+    plain = entropies(data, offsets)
+    for mode in (LEFT, TOP):
+        rest = residuals(data, offsets, mode)
+        tried = np.flatnonzero(entropies(rest, offsets) < plain)
+        if not len(tried):
+            continue
+        own = np.concatenate([rest[offsets[k] : offsets[k + 1]] for k in tried])
+        for k, file in zip(tried.tolist(), written(own, np.r_[0, np.cumsum(np.diff(offsets)[tried])], mode), strict=True):
+            if len(file) < len(files[k]):
+                files[k] = file
+    return files
+
+
+def written(data: np.ndarray, offsets: np.ndarray, mode: int = 0) -> list[bytes]:
+    """A file for each row of samples, or of what the predictor `mode` leaves of them.
+
+    What a frame repeats of itself is written as back-references; a row's frames share
+    their prefix codes.
     """
     rows = len(offsets) - 1
     sizes = np.diff(offsets)
@@ -537,7 +606,7 @@ def encode_planes(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     heads: dict[tuple[int, int], tuple[int, int]] = {}
     for k, h in zip(of.tolist(), lines.tolist(), strict=True):
         if (k, h) not in heads:
-            heads[k, h] = header(h, green[k], far[k])
+            heads[k, h] = header(h, green[k], far[k], mode=mode)
     before = np.array([heads[k, h][1] for k, h in zip(of.tolist(), lines.tolist(), strict=True)], np.int64)
     taken = np.bincount(owner, width, len(of)).astype(np.int64)
     size = (before + taken + 7) // 8
@@ -575,9 +644,10 @@ def plain_heads(flat: list[bytes]) -> list[tuple | None]:
     seen, n, last = -1, 0, None
     for s in flat:
         value = int.from_bytes(s[:640], "little") >> 36
-        if last and value & ((1 << n) - 1) == seen:
-            width = int.from_bytes(s[1:5], "little")
-            out.append(((width & 0x3FFF) + 1, (width >> 14 & 0x3FFF) + 1, *last[2:]))
+        size = int.from_bytes(s[1:5], "little")
+        width, height = (size & 0x3FFF) + 1, (size >> 14 & 0x3FFF) + 1
+        if last and value & ((1 << n) - 1) == seen and (not last[5] or (width, height) == last[:2]):
+            out.append((width, height, *last[2:]))
             continue
         last = plain_head(s)
         if last:
@@ -587,21 +657,33 @@ def plain_heads(flat: list[bytes]) -> list[tuple | None]:
     return out
 
 
-def plain_head(stream: bytes) -> tuple[int, int, list[int], list[int], int] | None:
-    """Width, height, lengths of the green and the distance code, the first pixel's bit.
+def plain_head(stream: bytes) -> tuple[int, int, list[int], list[int], int, int] | None:
+    """Width, height, lengths of the green and the distance code, the first pixel's bit, the predictor or 0.
 
-    None if pixels need more than these two codes, or distances more bits than a window holds.
+    None if pixels need more than these two codes, distances more bits than a window holds,
+    or samples more than green subtracted and one predictor for all.
     """
     bits = Bits(stream[:640], 8)
     width, height = bits.take(14) + 1, bits.take(14) + 1
     bits.take(4)
-    if bits.take(1) or bits.take(1) or bits.take(1):
+    mode = 0
+    while bits.take(1):
+        kind = bits.take(2)
+        if kind == PREDICTOR and not mode:
+            side = bits.take(3) + 2
+            modes = {p >> 8 & 15 for p in read_pixels(bits, (width - 1 >> side) + 1, (height - 1 >> side) + 1, False)}
+            mode = min(modes)
+            if len(modes) > 1 or mode not in (LEFT, TOP):
+                return None
+        elif kind != GREEN:
+            return None
+    if bits.take(1) or bits.take(1):
         return None
     green, red, blue, alpha, far = (read_prefix(bits, n).lengths for n in (LITERALS + LENGTHS, LITERALS, LITERALS, LITERALS, DISTANCES))
     single = [sum(map(bool, x)) <= 1 for x in (red, blue, alpha)]
     if not all(single) or max(*green, *far) > CODE_BITS or any(far[FARTHEST:]) or bits.at > 8 * 600:
         return None
-    return width, height, green, far, bits.at
+    return width, height, green, far, bits.at, mode
 
 
 def decode_planes(files: list[bytes]) -> list[np.ndarray]:
@@ -613,7 +695,7 @@ def decode_planes(files: list[bytes]) -> list[np.ndarray]:
     lanes = [k for k, h in enumerate(heads) if h]
     lanes.sort(key=lambda k: -heads[k][0] * heads[k][1])
     for k, plane in zip(lanes, in_step([flat[k] for k in lanes], [heads[k] for k in lanes]), strict=True):
-        out[k] = plane
+        out[k] = restore(plane, heads[k][0], heads[k][5]) if heads[k][5] else plane
     ends = np.cumsum([0, *map(len, parts)])
     return [np.concatenate(out[i:j]) for i, j in zip(ends, ends[1:])]
 

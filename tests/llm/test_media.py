@@ -218,3 +218,22 @@ def test_palettes(colours):
     assert pixels_of(found) == want
     also = webp.decode_planes([webp.file_of([stream(width, height, [(webp.PALETTE, colours - 1, deltas, colours)], packed, across)], [height])])
     assert also[0].tolist() == [p >> 8 & 255 for p in want]
+
+
+def test_transforms_are_written_where_they_pay(spark):
+    rng = random.Random(12)
+    rising = "".join(chr(32 + (3 * k + rng.randrange(2)) % 90) for k in range(9000))
+    line = [rng.randrange(40, 120) for _ in range(576)]
+    below = "".join(chr(v + (y * 5 + rng.randrange(2)) % 7) for y in range(16) for v in line)
+    prose = " ".join(rng.choices(["sieve", "work", "flour", "the", "of"], k=900))
+    texts = [rising, below, prose, ""]
+    out = {r.doc_id: r for r in media.stored_rows(table(spark, [(k, t, None, None, None) for k, t in enumerate(texts)]), keep_file=True).collect()}
+    modes = [{webp.plain_head(s)[5] for s in webp.streams(out[k].media)} for k in range(4)]
+    assert modes == [{webp.LEFT}, {webp.TOP}, {0}, {0}]
+    for k, t in enumerate(texts):
+        frames = webp.decode(out[k].media)
+        assert all((f[:, :, c] == f[:, :, 1]).all() for f in frames for c in (0, 2)) and all((f[:, :, 3] == 255).all() for f in frames)
+        raw = t.encode() + b"\xff" * (out[k].payload_bytes - len(t))
+        assert b"".join(f[:, :, 1].tobytes() for f in frames) == raw and out[k].payload_sha256 == hashlib.sha256(raw).hexdigest()
+        filled = np.frombuffer(raw, np.uint8)
+        assert len(out[k].media) <= len(webp.written(filled, np.array([0, len(filled)]))[0])
